@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysis being re-implemented is a batch job against a fixed index date; it has no
+stream source, watermark, event-time window or state.  Nothing here is a stream operator;
+late records are ordinary out-of-window or out-of-registration dates handled by the batch
+operators.
+"""
