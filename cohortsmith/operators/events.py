@@ -38,7 +38,7 @@ def extract_events(events: DataFrame, codes: DataFrame, *, code_col: str, date_c
     c = codes.select(F.col("code").alias("_code"), "concept")
     joined = join_small(events, c, events[code_col] == F.col("_code"))
     out = [F.col("patid"), F.col("concept"), F.col(date_col).alias("date")]
-    out += [F.col(k) for k in keep]
+    out += [F.col(k) if isinstance(k, str) else k for k in keep]
     if code_alias:
         out.append(F.col(code_col).alias(code_alias))
     return joined.select(*out)
