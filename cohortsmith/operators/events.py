@@ -31,13 +31,15 @@ def extract_events(events: DataFrame, codes: DataFrame, *, code_col: str, date_c
                    keep=(), code_alias: str | None = None) -> DataFrame:
     """One scan of ``events`` joined to *all* requested codelists at once.
 
-    ``codes`` is a (concept, code) table; a code in several lists yields one row per list.
+    ``codes`` is a (concept, code [, tags...]) table; a code in several lists yields one row
+    per list; extra code-table columns (e.g. a ``family`` tag) are carried to the output.
     The codelist side is broadcast when its size is within the checked bound.
-    Output: patid, concept, date, *keep [, code].
+    Output: patid, concept, date, *tags, *keep [, code].
     """
-    c = codes.select(F.col("code").alias("_code"), "concept")
+    extra = [c for c in codes.columns if c not in ("code", "concept", "version", "code_system")]
+    c = codes.select(F.col("code").alias("_code"), "concept", *extra)
     joined = join_small(events, c, events[code_col] == F.col("_code"))
-    out = [F.col("patid"), F.col("concept"), F.col(date_col).alias("date")]
+    out = [F.col("patid"), F.col("concept"), F.col(date_col).alias("date"), *[F.col(x) for x in extra]]
     out += [F.col(k) if isinstance(k, str) else k for k in keep]
     if code_alias:
         out.append(F.col(code_col).alias(code_alias))
@@ -82,20 +84,25 @@ def restrict_by_source(ev: DataFrame, valid: DataFrame, *, hospital: bool = Fals
     return ev.join(v, "patid").filter((d >= F.col("min_dob")) & cond).select(*ev.columns)
 
 
-def split_drug_classes(scripts: DataFrame, lookup: DataFrame, *, classes, subclasses,
-                       code_col: str = "prodcodeid", date_col: str = "date") -> DataFrame:
-    """One lookup join; a script belongs to its class and (if listed) to its sub-class.
-
-    Explodes (kind, name) pairs so a sub-class name can never match a class name."""
-    lk = lookup.select(F.col(code_col).alias("_code"), "drug_class_1", "drug_substance_2")
-    j = join_small(scripts, lk, scripts[code_col] == F.col("_code"))
+def class_codelist(lookup: DataFrame, *, classes, subclasses, code_col: str = "prodcodeid") -> DataFrame:
+    """Drug-class lookup as a (concept, code) list: a product belongs to its class and (if
+    listed) to its sub-class.  Explodes (kind, name) pairs so a sub-class name can never match
+    a class name.  Works on the small lookup, never on the prescription table."""
     pairs = F.array(
         F.struct(F.lit("class").alias("kind"), F.col("drug_class_1").alias("name")),
         F.struct(F.lit("sub").alias("kind"), F.col("drug_substance_2").alias("name")))
-    x = j.select("patid", F.col(date_col).alias("date"), F.explode(pairs).alias("p"))
+    x = lookup.select(F.col(code_col).alias("code"), F.explode(pairs).alias("p"))
     keep = (((F.col("p.kind") == "class") & isin_strict(F.col("p.name"), classes))
             | ((F.col("p.kind") == "sub") & isin_strict(F.col("p.name"), subclasses)))
-    return x.filter(keep).select("patid", F.col("p.name").alias("concept"), "date")
+    return x.filter(keep).select(F.col("p.name").alias("concept"), "code")
+
+
+def split_drug_classes(scripts: DataFrame, lookup: DataFrame, *, classes, subclasses,
+                       code_col: str = "prodcodeid", date_col: str = "date") -> DataFrame:
+    """Scripts of the listed classes and sub-classes: one join of the scripts to the lookup
+    turned into a codelist.  Output: patid, concept, date."""
+    codes = class_codelist(lookup, classes=classes, subclasses=subclasses)
+    return extract_events(scripts, codes, code_col=code_col, date_col=date_col)
 
 
 def hospital_diagnoses(hosp: DataFrame, codes: DataFrame, *, exclude=("hypertension",)) -> DataFrame:

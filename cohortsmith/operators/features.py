@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions.columns import as_date, count_true, day_diff, efi_category, stage_at
@@ -30,13 +31,16 @@ def to_wide(long: DataFrame, concepts, templates: dict[str, str], key: str = "pa
     Output column order: for each concept, the metrics in ``templates`` order."""
     concepts = list(concepts)
     metrics = list(templates)
-    aggs = [F.first(m).alias(m) for m in metrics]
-    wide = long.groupBy(key).pivot("concept", concepts).agg(*aggs)
+    # Dates travel as day numbers: Spark's compact PivotFirst aggregate handles numeric types
+    # only; a DATE metric would expand into one aggregate per (concept, metric).
+    dates = {m for m in metrics if isinstance(long.schema[m].dataType, T.DateType)}
+    slim = long.select(key, "concept", *[F.unix_date(m).alias(m) if m in dates else F.col(m) for m in metrics])
+    wide = slim.groupBy(key).pivot("concept", concepts).agg(*[F.first(m).alias(m) for m in metrics])
     out = [F.col(key)]
     for c in concepts:
         for m in metrics:
-            src = f"{c}_{m}" if len(metrics) > 1 else c
-            out.append(F.col(f"`{src}`").alias(templates[m].format(c=c)))
+            src = F.col(f"`{c}_{m}`" if len(metrics) > 1 else f"`{c}`")
+            out.append((F.date_from_unix_date(src) if m in dates else src).alias(templates[m].format(c=c)))
     return wide.select(*out)
 
 
@@ -72,7 +76,7 @@ def event_flags(ev: DataFrame, spine: DataFrame, index_date, concepts, *,
     concepts = list(concepts)
     idx = as_date(index_date)
     pre = (ev.filter(F.col("concept").isin(concepts) & (F.col("date") <= idx))
-             .groupBy("patid").pivot("concept", concepts).agg(F.min("date")))
+             .groupBy("patid").pivot("concept", concepts).agg(F.min(F.unix_date("date"))))
     out = attach(spine, pre)
     return out.select("patid", *[F.col(f"`{c}`").isNotNull().alias(flag.format(c=c)) for c in concepts])
 

@@ -10,8 +10,15 @@ DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows.  Reads at most max_rows + 1 rows; the
+    answer is remembered on the DataFrame object, so a reused frame is checked once."""
+    memo = getattr(df, "_row_bound_memo", None)
+    if memo is None:
+        memo = {}
+        df._row_bound_memo = memo
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[max_rows]
 
 
 def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

@@ -20,6 +20,7 @@ from ..operators import events as E
 from ..operators import features as FT
 from ..operators import measures as M
 from ..sources import codelists as CL
+from ..sources.store import code_digest, materialize
 from ..sources.adapter import Warehouse
 
 
@@ -30,8 +31,19 @@ class CohortBuild:
         self.label = C.period_label(index_date)
         self._spine = spine
 
+    SPINE_DEPENDENT = ("spine", "biomarkers", "stage", "comorbidities", "medications", "efi")
+    SHARED = ("baseline_long", "height", "comorbidity_events", "medication_events", "efi_events",
+              "efi_deficits")
+
     def with_spine(self, spine: DataFrame) -> "CohortBuild":
-        return CohortBuild(self.wh, self.index_date, spine)
+        """Same index date and event tables, features attached to another spine."""
+        for name in self.SHARED:
+            getattr(self, name)
+        other = CohortBuild(self.wh, self.index_date, spine)
+        for k, v in self.__dict__.items():
+            if k not in self.SPINE_DEPENDENT and k != "_spine":
+                other.__dict__.setdefault(k, v)
+        return other
 
     @cached_property
     def spine(self) -> DataFrame:
@@ -46,18 +58,59 @@ class CohortBuild:
     def codes_2021(self) -> DataFrame:
         return CL.codelist_version(self.wh.codelists, C.VERSION_2021)
 
+    # -- one scan per event table for every codelist family, stored once -----------
+    @cached_property
+    def tag(self) -> str:
+        return code_digest(self.wh.sf_dir)
+
+    @cached_property
+    def observation_codes(self) -> DataFrame:
+        """(concept, code, family) for every observation-based feature family."""
+        def fam(df: DataFrame, name: str) -> DataFrame:
+            return df.select("concept", "code", F.lit(name).alias("family"))
+        meas = E.select_codes(self.codes_2024, code_system="medcode", concepts=C.BIOMARKERS + [C.HBA1C])
+        return (fam(meas, "measure").unionByName(fam(self.comorbidity_codes, "comorbidity"))
+                .unionByName(fam(self.efi_codes, "efi")))
+
+    @cached_property
+    def coded_observations(self) -> DataFrame:
+        """Observations of all needed concepts from a single scan, stored partitioned by family
+        (later reads prune to one family; lost executors recompute from the stored copy)."""
+        obs = self.wh.observation.withColumnRenamed("testvalue", "value")
+        ev = E.extract_events(obs, self.observation_codes, code_col="medcodeid", date_col="obsdate",
+                              keep=["value", "numunitid"], code_alias="code")
+        return materialize(ev, f"coded_observations_{self.tag}", namespace="all_patid",
+                           partition_by=["family"])
+
+    @cached_property
+    def prescription_codes(self) -> DataFrame:
+        def fam(df: DataFrame, name: str) -> DataFrame:
+            return df.select("concept", "code", F.lit(name).alias("family"))
+        drugs = E.select_codes(self.codes_2021, code_system="prodcode", concepts=C.DRUGS)
+        insulin = E.select_codes(self.codes_2024, code_system="prodcode", concepts=[C.INSULIN])
+        classes = [c for c in C.OHA_CLASSES if c != C.INSULIN]  # insulin comes from its own list
+        oha = E.class_codelist(self.wh.drug_class_lookup, classes=classes, subclasses=C.SEMA_SUBCLASSES)
+        return fam(drugs, "drug").unionByName(fam(insulin, "insulin")).unionByName(fam(oha, "oha"))
+
+    @cached_property
+    def coded_prescriptions(self) -> DataFrame:
+        ev = E.extract_events(self.wh.drug_issue, self.prescription_codes, code_col="prodcodeid",
+                              date_col="issuedate")
+        return materialize(ev, f"coded_prescriptions_{self.tag}", namespace="all_patid",
+                           partition_by=["family"])
+
     # -- measurements --------------------------------------------------------
     @cached_property
     def raw_measurements(self) -> DataFrame:
-        codes = E.select_codes(self.codes_2024, code_system="medcode", concepts=C.BIOMARKERS + [C.HBA1C])
-        obs = self.wh.observation.withColumnRenamed("testvalue", "value")
-        return E.extract_events(obs, codes, code_col="medcodeid", date_col="obsdate",
-                                keep=["value", "numunitid"])
+        return (self.coded_observations.filter(F.col("family") == "measure")
+                    .select("patid", "concept", "date", "value", "numunitid"))
 
     @cached_property
     def clean(self) -> DataFrame:
-        return M.clean_measurements(self.raw_measurements, self.wh.value_limits,
-                                    self.wh.unit_whitelist, self.wh.valid_dates)
+        """Clean measurements, stored: read by the derived measures, baseline and height."""
+        df = M.clean_measurements(self.raw_measurements, self.wh.value_limits,
+                                  self.wh.unit_whitelist, self.wh.valid_dates)
+        return materialize(df, f"clean_measurements_{self.tag}", namespace="all_patid")
 
     @cached_property
     def acr_from_separate(self) -> DataFrame:
@@ -106,8 +159,8 @@ class CohortBuild:
 
     @cached_property
     def comorbidity_events(self) -> DataFrame:
-        gp = E.extract_events(self.wh.observation, self.comorbidity_codes, code_col="medcodeid",
-                              date_col="obsdate", code_alias="code")
+        gp = (self.coded_observations.filter(F.col("family") == "comorbidity")
+                  .select("patid", "concept", "date", "code"))
         tagged = E.tag_sources({"gp": gp})
         return E.restrict_by_source(tagged, self.wh.valid_dates)
 
@@ -119,25 +172,22 @@ class CohortBuild:
             flag="pre_index_date_{c}", post="post_index_date_first_{c}")
 
     # -- medications ----------------------------------------------------------------
+    def _rx(self, family: str) -> DataFrame:
+        return (self.coded_prescriptions.filter(F.col("family") == family)
+                    .select("patid", "concept", "date"))
+
     @cached_property
     def drug_events(self) -> DataFrame:
-        codes = E.select_codes(self.codes_2021, code_system="prodcode", concepts=C.DRUGS)
-        ev = E.extract_events(self.wh.drug_issue, codes, code_col="prodcodeid", date_col="issuedate")
-        return E.restrict_to_registration(ev, self.wh.valid_dates)
+        return E.restrict_to_registration(self._rx("drug"), self.wh.valid_dates)
 
     @cached_property
     def oha_events(self) -> DataFrame:
-        classes = [c for c in C.OHA_CLASSES if c != C.INSULIN]  # insulin comes from its own list
-        split = E.split_drug_classes(self.wh.drug_issue, self.wh.drug_class_lookup,
-                                     classes=classes, subclasses=C.SEMA_SUBCLASSES,
-                                     date_col="issuedate")
-        return E.restrict_to_registration(split, self.wh.valid_dates)
+        return E.restrict_to_registration(self._rx("oha"), self.wh.valid_dates)
 
     @cached_property
     def insulin_events(self) -> DataFrame:
-        codes = E.select_codes(self.codes_2024, code_system="prodcode", concepts=[C.INSULIN])
-        ev = E.extract_events(self.wh.drug_issue, codes, code_col="prodcodeid", date_col="issuedate")
-        return E.restrict_to_registration(ev, self.wh.valid_dates, end_col="gp_ons_end_date")
+        return E.restrict_to_registration(self._rx("insulin"), self.wh.valid_dates,
+                                          end_col="gp_ons_end_date")
 
     @cached_property
     def medication_events(self) -> DataFrame:
@@ -162,8 +212,7 @@ class CohortBuild:
 
     @cached_property
     def efi_events(self) -> DataFrame:
-        ev = E.extract_events(self.wh.observation, self.efi_codes, code_col="medcodeid",
-                              date_col="obsdate")
+        ev = self.coded_observations.filter(F.col("family") == "efi").select("patid", "concept", "date")
         return E.restrict_to_registration(ev, self.wh.valid_dates)
 
     @cached_property

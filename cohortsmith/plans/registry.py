@@ -8,9 +8,7 @@ equal despite last-bit differences in sums and powers.
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,12 +53,7 @@ def build_for(spark: SparkSession, sf_dir: str) -> CohortBuild:
 
 
 def _tag(sf_dir: str) -> str:
-    """Stored-table suffix: data directory + code fingerprint (a code change never reuses a
-    table written by older code)."""
-    h = hashlib.sha1(sf_dir.encode())
-    for p in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
-        h.update(p.read_bytes())
-    return h.hexdigest()[:12]
+    return S.code_digest(sf_dir)
 
 
 def query(key: str, sql_final: str, doubles=()):

@@ -43,12 +43,30 @@ def _case(col: Column, pairs, default=None) -> Column:
 class Warehouse:
     """Lazily derived domain tables; one instance per (session, data directory)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, store_lookups: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-
-    def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        self.store_lookups = store_lookups
+
+    def _lookup(self, df: DataFrame, name: str) -> DataFrame:
+        """Small lookup tables (codelists, class lookup) are stored once and read back, as a
+        warehouse would hold them; the name carries the data directory and a code digest."""
+        if not self.store_lookups:
+            return df
+        from .store import materialize, code_digest
+        tag = code_digest(self.sf_dir)
+        return materialize(df, f"{name}_{tag}", namespace="lookups")
+
+    def raw(self, name: str, spread: bool = False) -> DataFrame:
+        """Read a driver table.  ``spread``: an input stored as fewer splits than the default
+        parallelism (e.g. one row group) is spread round-robin over the cores, so the map
+        side of the plan is not a single task.  With a many-file input this is a no-op."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if spread:
+            target = self.spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < target:
+                df = df.repartition(target)
+        return df
 
     # -- patients -----------------------------------------------------------
     @cached_property
@@ -123,7 +141,7 @@ class Warehouse:
     # -- events ---------------------------------------------------------------
     @cached_property
     def _lines(self) -> DataFrame:
-        li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        li = self.raw("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                          "l_quantity", "l_shipdate")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         return li.join(o, li.l_orderkey == o.o_orderkey)
@@ -216,7 +234,7 @@ class Warehouse:
         out = meas
         for df in [extra, dx24, dx21, efi, *forced, drug24, drug21, fixed]:
             out = out.unionByName(df)
-        return out
+        return self._lookup(out, "codelists")
 
     @cached_property
     def drug_class_lookup(self) -> DataFrame:
@@ -225,8 +243,8 @@ class Warehouse:
         cls = _case(F.col("p_size") % 8, list(enumerate(X.OHA_CLASS_BY_SIZE)))
         sub = F.when(cls == "glp1", _case(F.col("p_partkey") % 3, list(enumerate(X.SEMA_BY_KEY))))
         ins = ((cls == "glp1") & (F.col("p_partkey") % 5 == 0)).cast("int")
-        return p.select(F.col("code").alias("prodcodeid"), cls.alias("drug_class_1"),
-                        sub.alias("drug_substance_2"), ins.alias("INS"))
+        return self._lookup(p.select(F.col("code").alias("prodcodeid"), cls.alias("drug_class_1"),
+                                     sub.alias("drug_substance_2"), ins.alias("INS")), "drug_class_lookup")
 
     @cached_property
     def value_limits(self) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,15 @@ from pyspark.sql import functions as F
 from ..session import ensure_store
 
 
+def code_digest(extra: str = "") -> str:
+    """Digest of ``extra`` and the package source: stored tables written by other code or for
+    other inputs are never picked up by name."""
+    h = hashlib.sha1(extra.encode())
+    for p in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
+        h.update(p.read_bytes())
+    return h.hexdigest()[:12]
+
+
 def table_path(spark: SparkSession, namespace: str, name: str) -> str:
     return f"{ensure_store(spark).rstrip('/')}/tables/{namespace}/{name}"
 
