@@ -267,8 +267,7 @@ cte("medications", "SELECT s.patid, " + ", ".join(
     f"pre_{LABEL}_earliest_{c}, pre_{LABEL}_latest_{c}, post_{LABEL}_first_{c}" for c in _MED)
     + " FROM spine s LEFT JOIN med_w w ON s.patid = w.patid")
 
-EFI_DEFICITS = sorted([f"{C.EFI_PREFIX}{b}" for b in range(1, X.EFI_LONG_BRAND)] + [X.EFI_LONG_NAME]
-                      + [n for n, _ in X.EFI_FORCED_RULES])
+EFI_DEFICITS = X.efi_deficits()
 cte("efi_codes", f"SELECT concept, code FROM codes24 WHERE code_system = 'medcode' AND concept LIKE 'efi\\_%' ESCAPE '\\'")
 cte("efi_ev", """SELECT o.patid, c.concept, o.obsdate AS date FROM observation o JOIN efi_codes c ON o.medcodeid = c.code
   JOIN valid_dates v ON o.patid = v.patid WHERE o.obsdate >= v.min_dob AND o.obsdate <= v.gp_end_date""")

@@ -25,11 +25,13 @@ from ..sources.adapter import Warehouse
 
 
 class CohortBuild:
-    def __init__(self, wh: Warehouse, index_date: dt.date = C.INDEX_DATE, spine: DataFrame | None = None):
+    def __init__(self, wh: Warehouse, index_date: dt.date = C.INDEX_DATE, spine: DataFrame | None = None,
+                 deficits: list[str] | None = None):
         self.wh = wh
         self.index_date = index_date
         self.label = C.period_label(index_date)
         self._spine = spine
+        self._deficits = deficits
 
     SPINE_DEPENDENT = ("spine", "biomarkers", "stage", "comorbidities", "medications", "efi")
     SHARED = ("baseline_long", "height", "comorbidity_events", "medication_events", "efi_events",
@@ -39,7 +41,7 @@ class CohortBuild:
         """Same index date and event tables, features attached to another spine."""
         for name in self.SHARED:
             getattr(self, name)
-        other = CohortBuild(self.wh, self.index_date, spine)
+        other = CohortBuild(self.wh, self.index_date, spine, self._deficits)
         for k, v in self.__dict__.items():
             if k not in self.SPINE_DEPENDENT and k != "_spine":
                 other.__dict__.setdefault(k, v)
@@ -208,7 +210,8 @@ class CohortBuild:
 
     @cached_property
     def efi_deficits(self) -> list[str]:
-        return CL.concept_names(self.efi_codes)
+        """Configured deficit lists, else the names found in the catalogue."""
+        return list(self._deficits) if self._deficits is not None else CL.concept_names(self.efi_codes)
 
     @cached_property
     def efi_events(self) -> DataFrame:

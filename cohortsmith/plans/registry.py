@@ -25,6 +25,7 @@ from ..operators.joins import small_side
 from ..session import ensure_store
 from ..sources import codelists as CL
 from ..sources import store as S
+from ..sources import fixtures as X
 from ..sources.adapter import Warehouse
 from . import oracle as O
 from .pipeline import CohortBuild
@@ -48,7 +49,7 @@ _BUILDS: dict[tuple[int, str], CohortBuild] = {}
 def build_for(spark: SparkSession, sf_dir: str) -> CohortBuild:
     key = (id(spark), sf_dir)
     if key not in _BUILDS:
-        _BUILDS[key] = CohortBuild(Warehouse(spark, sf_dir))
+        _BUILDS[key] = CohortBuild(Warehouse(spark, sf_dir), deficits=X.efi_deficits())
     return _BUILDS[key]
 
 

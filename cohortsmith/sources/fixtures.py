@@ -33,6 +33,15 @@ EFI_LONG_BRAND = 25
 EFI_LONG_NAME = "efi_mobility_and_transfer_problems"
 EFI_FORCED_RULES = [("efi_diabetes", 1), ("efi_polypharmacy", 2)]  # p_partkey % 4 == r, brand <= 3
 
+
+
+def efi_deficits() -> list[str]:
+    """Frailty deficit lists of the fixture catalogue (sorted); a list with no codes at a small
+    scale factor still yields its (all-FALSE) flag column."""
+    return sorted([f"{C.EFI_PREFIX}{b}" for b in range(1, EFI_LONG_BRAND)] + [EFI_LONG_NAME]
+                  + [n for n, _ in EFI_FORCED_RULES])
+
+
 # Synthetic value limits (inclusive) per concept.  Potassium uses the analysis' own limits.
 VALUE_LIMITS = [
     ("weight", 20.0, 300.0), ("height", 1.0, 250.0), ("bmi", 10.0, 80.0), ("hdl", 0.0, 1000.0),
