@@ -43,7 +43,7 @@ class CohortBuild:
             getattr(self, name)
         other = CohortBuild(self.wh, self.index_date, spine, self._deficits)
         for k, v in self.__dict__.items():
-            if k not in self.SPINE_DEPENDENT and k != "_spine":
+            if k not in self.SPINE_DEPENDENT and k not in ("_spine", "_stored"):
                 other.__dict__.setdefault(k, v)
         return other
 
@@ -226,7 +226,7 @@ class CohortBuild:
     def cohort_ids(self, linked_only: bool = False) -> DataFrame:
         return CO.prevalent_cohort(self.wh.diabetes_cohort, self.index_date, linked_only=linked_only)
 
-    def cross_section(self, with_efi: bool = False) -> DataFrame:
+    def cross_section_plan(self, with_efi: bool = False) -> DataFrame:
         """Feature tables are built on the cohort itself (same values as building them on all
         patients and joining, with fewer rows in every join)."""
         ids = self.cohort_ids()
@@ -236,6 +236,15 @@ class CohortBuild:
             feats.append(on.efi)
         return CO.cross_section(ids, self.wh.diabetes_cohort, feats, self.index_date)
 
+    def cross_section(self, with_efi: bool = False) -> DataFrame:
+        """The cross-section, stored once: the analysis steps downstream read the stored table."""
+        key = "cross_section_efi" if with_efi else "cross_section"
+        stored = self.__dict__.setdefault("_stored", {})
+        if key not in stored:
+            name = f"{key}_{self.label}_{self.tag}"
+            stored[key] = materialize(self.cross_section_plan(with_efi), name, namespace="analysis")
+        return stored[key]
+
     def analysis_ready(self) -> DataFrame:
         """Flags -> restriction -> complete cases + stage 0 -> pruned columns."""
         x = CO.treatment_flags(self.cross_section(), self.label)
