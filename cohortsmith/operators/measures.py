@@ -16,10 +16,16 @@ from .joins import join_small, small_side
 def apply_value_limits(ev: DataFrame, limits: DataFrame, *, limit_concept: str | None = None) -> DataFrame:
     """Keep rows with ``lo <= value <= hi`` for their concept (NULL value drops).
 
-    ``limit_concept`` applies one concept's limits to every row (used for derived ratios)."""
+    ``limit_concept`` applies one concept's limits to every row (used for derived ratios); its
+    single (lo, hi) row is read as literals -- a join on a constant key would plan as a
+    keyless nested-loop join."""
+    if limit_concept is not None:
+        rows = limits.filter(F.col("concept") == limit_concept).select("lo", "hi").limit(2).collect()
+        if len(rows) != 1:
+            raise ValueError(f"expected one limits row for {limit_concept!r}, found {len(rows)}")
+        return ev.filter(F.col("value").between(F.lit(rows[0].lo), F.lit(rows[0].hi)))
     lim = limits.select(F.col("concept").alias("_lc"), "lo", "hi")
-    key = F.col("concept") if limit_concept is None else F.lit(limit_concept)
-    j = join_small(ev.withColumn("_lk", key), lim, F.col("_lk") == F.col("_lc")).drop("_lk", "_lc")
+    j = join_small(ev, lim, F.col("concept") == F.col("_lc")).drop("_lc")
     return j.filter(F.col("value").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
 
 

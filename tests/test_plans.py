@@ -51,3 +51,10 @@ def test_feature_tables_have_unique_patid(spark):
     b = registry.build_for(spark, SF)
     for df in [b.biomarkers, b.stage, b.comorbidities, b.medications, b.efi, b.cross_section(True)]:
         assert df.groupBy("patid").count().filter("count > 1").count() == 0
+
+
+def test_no_cross_join_or_python_in_any_query(spark):
+    for key, fn in registry.QUERIES.items():
+        p = plan(fn(spark, SF))
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, key
+        assert "EvalPython" not in p and "InPandas" not in p, key
