@@ -25,6 +25,23 @@ DEFAULTS = {
 }
 
 
+# Starting point for a large cluster (tens of TB per run): AQE sizes post-shuffle partitions
+# from run-time statistics, splits skewed join partitions and demotes joins to broadcast only
+# when the measured side is small.  Tune the initial partition count to ~input/256MB.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "cohortsmith", conf: dict | None = None,
                   ) -> SparkSession:
     b = SparkSession.builder.appName(app)

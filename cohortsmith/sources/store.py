@@ -26,9 +26,17 @@ def table_path(spark: SparkSession, namespace: str, name: str) -> str:
     return f"{ensure_store(spark).rstrip('/')}/tables/{namespace}/{name}"
 
 
+def _marker(path: str) -> str:
+    return f"{path}.committed"
+
+
 def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | None:
+    """The stored table, or None.  A table counts as stored only when its commit marker (a tiny
+    dataset written after the data) exists, so a folder left by an interrupted job is rewritten."""
+    path = table_path(spark, namespace, name)
     try:
-        return spark.read.parquet(table_path(spark, namespace, name))
+        spark.read.parquet(_marker(path))
+        return spark.read.parquet(path)
     except AnalysisException:
         return None
 
@@ -48,8 +56,10 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(table_path(spark, namespace, name))
-    return spark.read.parquet(table_path(spark, namespace, name))
+    path = table_path(spark, namespace, name)
+    w.parquet(path)
+    spark.createDataFrame([(name,)], "name string").write.mode("overwrite").parquet(_marker(path))
+    return spark.read.parquet(path)
 
 
 def write_snapshot(df: DataFrame, name: str, stamp: dt.date, *, namespace: str = "snapshots") -> str:

@@ -184,3 +184,27 @@ def test_exact_quantiles_type7(spark):
         xs = np.array([v for st, _, v in rows if st == s])
         for p in (0.25, 0.5, 0.75):
             assert got[(s, p)] == pytest.approx(np.quantile(xs, p))  # numpy default = type 7
+
+
+def test_per_patient_index_date(spark):
+    """The index date may be a column (one per patient) instead of a constant."""
+    e = spark.createDataFrame(
+        [("p", "sbp", dt.date(2020, 1, 10), 1.0, dt.date(2020, 1, 1)),
+         ("p", "sbp", dt.date(2019, 12, 30), 2.0, dt.date(2020, 1, 1)),
+         ("q", "sbp", dt.date(2010, 1, 3), 3.0, dt.date(2010, 1, 1)),
+         ("q", "sbp", dt.date(2010, 1, 20), 4.0, dt.date(2010, 1, 1))],
+        "patid string, concept string, date date, value double, index_date date")
+    got = picked(B.nearest_to_index(e, F.col("index_date")))
+    assert got == {("p", "sbp"): (2.0, -2), ("q", "sbp"): (3.0, 2)}
+    long = {r.patid: r for r in FT.event_dates(e, F.col("index_date")).collect()}
+    assert long["p"].latest_pre == dt.date(2019, 12, 30) and long["q"].earliest_pre is None
+
+
+def test_materialize_reads_back_only_committed(spark):
+    from cohortsmith.sources import store as S
+    df = spark.createDataFrame([(1,)], "x int")
+    name = "probe_" + str(abs(hash(str(dt.datetime.now()))))
+    assert S.read_stored(spark, "tests", name) is None
+    S.materialize(df, name, namespace="tests")
+    again = S.materialize(spark.createDataFrame([(2,)], "x int"), name, namespace="tests")
+    assert [r.x for r in again.collect()] == [1]  # stored copy, not re-evaluated
