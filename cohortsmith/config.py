@@ -35,6 +35,9 @@ COMORBIDITIES = [
     "unstableangina", "frailty_simple",
 ]
 
+# Primary-cause hospitalisation for heart failure (hospital sources only), listed first.
+PRIMARY_HHF = "primary_hhf"
+
 # Medications: simple drug codelists, glucose-lowering classes, semaglutide sub-classes.
 DRUGS = ["ace_inhibitors", "arb", "ksparing_diuretics", "finerenone", "statins"]
 OHA_CLASSES = ["acarbose", "dpp4", "glinide", "glp1", "mfn", "sglt2", "su", "tzd", "insulin", "gipglp1"]

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config as C
 from ..functions.columns import isin_strict
 from .joins import join_small, prefix_join, small_side
 
@@ -130,17 +129,3 @@ def primary_cause(hosp_events: DataFrame, concept: str, new_concept: str) -> Dat
     """Hospital rows of ``concept`` with ``d_order == 1`` relabelled as ``new_concept``."""
     return (hosp_events.filter((F.col("concept") == concept) & (F.col("d_order") == 1))
                        .withColumn("concept", F.lit(new_concept)))
-
-
-def drop_columns_strict(df: DataFrame, names) -> DataFrame:
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"cannot drop unknown columns: {missing}")
-    return df.drop(*names)
-
-
-__all__ = [
-    "select_codes", "extract_events", "restrict_to_registration", "tag_sources",
-    "restrict_by_source", "split_drug_classes", "hospital_diagnoses", "hospital_procedures",
-    "primary_cause", "drop_columns_strict", "C",
-]

@@ -243,6 +243,29 @@ cte("com_flags", "SELECT s.patid, " + ", ".join(
     f"(w.pre_index_date_earliest_{c} IS NOT NULL) AS pre_index_date_{c}" for c in C.COMORBIDITIES)
     + " FROM spine s LEFT JOIN com_w w ON s.patid = w.patid")
 
+# dormant hospital sources: ICD-10 prefix (LIKE) join, OPCS-4 equi join, primary cause, wide validity
+cte("hosp_dx", """SELECT h.patid, replace(c.concept, 'icd10_', '') AS concept, h.epistart AS date, h.ICD AS code,
+  c.code AS prefix, h.d_order FROM hospital_diagnosis h JOIN codes24 c
+  ON c.code_system = 'icd10' AND h.ICD LIKE c.code || '%' WHERE c.concept <> 'icd10_hypertension'""")
+cte("hosp_proc", """SELECT p.patid, replace(c.concept, 'opcs4_', '') AS concept, p.evdate AS date, p.OPCS AS code
+  FROM hospital_procedure p JOIN codes24 c ON c.code_system = 'opcs4' AND p.OPCS = c.code""")
+cte("comh_src", f"""SELECT patid, concept, date, code, source FROM com_gp
+  UNION ALL SELECT patid, concept, date, code, 'hes_icd10' FROM hosp_dx
+  UNION ALL SELECT patid, {_q(C.PRIMARY_HHF)}, date, code, 'hes_icd10' FROM hosp_dx WHERE concept = 'heartfailure' AND d_order = 1
+  UNION ALL SELECT patid, concept, date, code, 'hes_opcs4' FROM hosp_proc""")
+cte("comh_ev", """SELECT u.* FROM comh_src u JOIN valid_dates v ON u.patid = v.patid
+  WHERE u.date >= v.min_dob AND ((u.source = 'gp' AND u.date <= v.gp_ons_end_date)
+    OR ((u.source = 'hes_icd10' OR u.source = 'hes_opcs4') AND (v.gp_ons_death_date IS NULL OR u.date <= v.gp_ons_death_date)))""")
+_pre_post("comh", "comh_ev")
+_COMH = [C.PRIMARY_HHF] + C.COMORBIDITIES
+_wide("comh", "comh_long", _COMH, [("earliest_pre", "pre_index_date_earliest_{c}"),
+                                   ("latest_pre", "pre_index_date_latest_{c}"),
+                                   ("first_post", "post_index_date_first_{c}")])
+cte("comorbidities_hosp", "SELECT s.patid, " + ", ".join(
+    f"pre_index_date_earliest_{c}, pre_index_date_latest_{c}, "
+    f"(pre_index_date_earliest_{c} IS NOT NULL) AS pre_index_date_{c}, post_index_date_first_{c}"
+    for c in _COMH) + " FROM spine s LEFT JOIN comh_w w ON s.patid = w.patid")
+
 _OHA_CLS = [c for c in C.OHA_CLASSES if c != C.INSULIN]
 cte("drug5", f"""SELECT d.patid, c.concept, d.issuedate AS date FROM drug_issue d JOIN codes21 c ON d.prodcodeid = c.code
   WHERE c.code_system = 'prodcode' AND c.concept IN {_in(C.DRUGS)}""")

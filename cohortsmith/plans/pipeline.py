@@ -26,12 +26,16 @@ from ..sources.adapter import Warehouse
 
 class CohortBuild:
     def __init__(self, wh: Warehouse, index_date: dt.date = C.INDEX_DATE, spine: DataFrame | None = None,
-                 deficits: list[str] | None = None):
+                 deficits: list[str] | None = None, hospital: bool = False):
+        """``hospital=True`` adds the (dormant) hospital sources to the comorbidities: ICD-10
+        prefix lists (hypertension excluded), OPCS-4 lists, a primary-cause heart-failure
+        concept, and the source-aware validity rule."""
         self.wh = wh
         self.index_date = index_date
         self.label = C.period_label(index_date)
         self._spine = spine
         self._deficits = deficits
+        self.hospital = hospital
 
     SPINE_DEPENDENT = ("spine", "biomarkers", "stage", "comorbidities", "medications", "efi")
     SHARED = ("baseline_long", "height", "comorbidity_events", "medication_events", "efi_events",
@@ -41,12 +45,19 @@ class CohortBuild:
         """Same index date and event tables, features attached to another spine."""
         for name in self.SHARED:
             getattr(self, name)
-        other = CohortBuild(self.wh, self.index_date, spine, self._deficits)
+        other = CohortBuild(self.wh, self.index_date, spine, self._deficits, self.hospital)
         for k, v in self.__dict__.items():
             if k not in self.SPINE_DEPENDENT and k not in ("_spine", "_stored"):
                 other.__dict__.setdefault(k, v)
         return other
 
+    def with_hospital(self) -> "CohortBuild":
+        """Same build with the hospital sources switched on (shares the stored event tables)."""
+        other = CohortBuild(self.wh, self.index_date, self._spine, self._deficits, hospital=True)
+        for k in ("tag", "codes_2024", "codes_2021", "comorbidity_codes", "coded_observations"):
+            other.__dict__[k] = getattr(self, k)
+        return other
+
     @cached_property
     def spine(self) -> DataFrame:
         return self._spine if self._spine is not None else self.wh.patient.select("patid")
@@ -159,17 +170,38 @@ class CohortBuild:
         codes = CL.codelist_precedence(self.wh.codelists, [C.VERSION_2021, C.VERSION_2024])
         return E.select_codes(codes, code_system="medcode", concepts=C.COMORBIDITIES)
 
+    @cached_property
+    def hospital_diagnoses(self) -> DataFrame:
+        return E.hospital_diagnoses(self.wh.hospital_diagnosis,
+                                    E.select_codes(self.codes_2024, code_system="icd10"))
+
+    @cached_property
+    def hospital_procedures(self) -> DataFrame:
+        return E.hospital_procedures(self.wh.hospital_procedure,
+                                     E.select_codes(self.codes_2024, code_system="opcs4"))
+
+    @property
+    def comorbidity_concepts(self) -> list[str]:
+        return ([C.PRIMARY_HHF] if self.hospital else []) + C.COMORBIDITIES
+
     @cached_property
     def comorbidity_events(self) -> DataFrame:
         gp = (self.coded_observations.filter(F.col("family") == "comorbidity")
                   .select("patid", "concept", "date", "code"))
-        tagged = E.tag_sources({"gp": gp})
-        return E.restrict_by_source(tagged, self.wh.valid_dates)
+        sources = {"gp": gp}
+        if self.hospital:
+            dx = self.hospital_diagnoses
+            primary = E.primary_cause(dx, "heartfailure", C.PRIMARY_HHF)
+            cols = ["patid", "concept", "date", "code"]
+            sources["hes_icd10"] = dx.select(*cols).unionByName(primary.select(*cols))
+            sources["hes_opcs4"] = self.hospital_procedures
+        tagged = E.tag_sources(sources)
+        return E.restrict_by_source(tagged, self.wh.valid_dates, hospital=self.hospital)
 
     @cached_property
     def comorbidities(self) -> DataFrame:
         return FT.event_features(
-            self.comorbidity_events, self.spine, self.index_date, C.COMORBIDITIES,
+            self.comorbidity_events, self.spine, self.index_date, self.comorbidity_concepts,
             earliest="pre_index_date_earliest_{c}", latest="pre_index_date_latest_{c}",
             flag="pre_index_date_{c}", post="post_index_date_first_{c}")
 

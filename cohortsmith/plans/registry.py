@@ -398,6 +398,13 @@ def _comorbidity_features(b):
     return b.comorbidities
 
 
+@query("comorbidity_features_hospital", "SELECT * FROM comorbidities_hosp")
+def _comorbidity_features_hospital(b):
+    """Dormant option: comorbidities from GP and hospital sources (prefix-matched ICD-10,
+    OPCS-4, primary-cause heart failure) with the source-aware validity rule."""
+    return b.with_hospital().comorbidities
+
+
 @query("medication_features", "SELECT * FROM medications")
 def _medication_features(b):
     return b.medications

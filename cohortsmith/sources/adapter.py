@@ -19,7 +19,6 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import config as C
 from . import fixtures as X
@@ -253,11 +252,3 @@ class Warehouse:
     @cached_property
     def unit_whitelist(self) -> DataFrame:
         return self.spark.createDataFrame(X.unit_rows(), "concept string, numunitid int")
-
-
-EVENT_SCHEMA = T.StructType([
-    T.StructField("patid", T.StringType()),
-    T.StructField("concept", T.StringType()),
-    T.StructField("date", T.DateType()),
-    T.StructField("value", T.DoubleType()),
-])

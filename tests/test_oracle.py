@@ -47,7 +47,7 @@ def test_matches_oracle(spark, con, key):
 
 def test_every_query_has_oracle():
     assert set(ENTRY.queries()) == set(ENTRY.oracle_sql())
-    assert len(ENTRY.queries()) == 57
+    assert len(ENTRY.queries()) == 58
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
