@@ -39,6 +39,13 @@ def codelist_precedence(codelists: DataFrame, versions) -> DataFrame:
     return ranked.join(small_side(first), ["concept", "_rank"]).drop("_rank")
 
 
+def duplicate_codes(codelists: DataFrame) -> DataFrame:
+    """(version, concept, code_system, code) present more than once: a duplicated code would
+    double-weight its events in a daily mean, so catalogues are checked to be free of them."""
+    return (codelists.groupBy("version", "concept", "code_system", "code").count()
+                     .filter(F.col("count") > 1))
+
+
 def codelist_prefix(codelists: DataFrame, prefix: str) -> DataFrame:
     """Lists whose name starts with ``prefix``."""
     return codelists.filter(F.col("concept").startswith(prefix))
