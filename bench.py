@@ -29,7 +29,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", app="cohortsmith-bench", conf={
-        "spark.sql.shuffle.partitions": str(max(8, 2 * int(cpus))),
+        "spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus),
         "spark.driver.memory": "16g",
     })
     qs = registry.queries()
