@@ -58,6 +58,14 @@ class CohortBuild:
             other.__dict__[k] = getattr(self, k)
         return other
 
+    def _stored(self, name: str, df: DataFrame, extra: str = "") -> DataFrame:
+        """Feature tables over the full patient spine are stored once (as the analysis stores each
+        family's final table); tables on a custom spine stay lazy."""
+        if self._spine is not None:
+            return df
+        key = f"{name}_{self.index_date:%Y%m%d}_{code_digest(self.tag + extra)}"
+        return materialize(df, key, namespace="features")
+
     @cached_property
     def spine(self) -> DataFrame:
         return self._spine if self._spine is not None else self.wh.patient.select("patid")
@@ -157,12 +165,12 @@ class CohortBuild:
         out = FT.attach(self.spine, wide).join(self.height, "patid", "left")
         hb = ["prehba1c", "prehba1cdate", "prehba1cdatediff"]
         order = [c for c in out.columns if c not in hb and c != "height"] + ["height"] + hb
-        return out.select(*order)
+        return self._stored("biomarkers", out.select(*order))
 
     # -- kidney stage -------------------------------------------------------------
     @cached_property
     def stage(self) -> DataFrame:
-        return FT.stage_at_index(self.spine, self.wh.stage_history, self.index_date)
+        return self._stored("ckd_stage", FT.stage_at_index(self.spine, self.wh.stage_history, self.index_date))
 
     # -- comorbidities ------------------------------------------------------------
     @cached_property
@@ -200,10 +208,11 @@ class CohortBuild:
 
     @cached_property
     def comorbidities(self) -> DataFrame:
-        return FT.event_features(
+        df = FT.event_features(
             self.comorbidity_events, self.spine, self.index_date, self.comorbidity_concepts,
             earliest="pre_index_date_earliest_{c}", latest="pre_index_date_latest_{c}",
             flag="pre_index_date_{c}", post="post_index_date_first_{c}")
+        return self._stored("comorbidities_hosp" if self.hospital else "comorbidities", df)
 
     # -- medications ----------------------------------------------------------------
     def _rx(self, family: str) -> DataFrame:
@@ -230,10 +239,11 @@ class CohortBuild:
     @cached_property
     def medications(self) -> DataFrame:
         lb = self.label
-        return FT.event_features(
+        df = FT.event_features(
             self.medication_events, self.spine, self.index_date, C.medication_concepts(),
             earliest=f"pre_{lb}_earliest_{{c}}", latest=f"pre_{lb}_latest_{{c}}",
             post=f"post_{lb}_first_{{c}}")
+        return self._stored("medications", df)
 
     # -- frailty ----------------------------------------------------------------------
     @cached_property
@@ -252,20 +262,23 @@ class CohortBuild:
 
     @cached_property
     def efi(self) -> DataFrame:
-        return FT.frailty_index(self.efi_events, self.spine, self.index_date, self.efi_deficits)
+        df = FT.frailty_index(self.efi_events, self.spine, self.index_date, self.efi_deficits)
+        return self._stored("efi", df, extra=",".join(self.efi_deficits))
 
     # -- cohort ---------------------------------------------------------------------------
     def cohort_ids(self, linked_only: bool = False) -> DataFrame:
         return CO.prevalent_cohort(self.wh.diabetes_cohort, self.index_date, linked_only=linked_only)
 
-    def cross_section_plan(self, with_efi: bool = False) -> DataFrame:
-        """Feature tables are built on the cohort itself (same values as building them on all
-        patients and joining, with fewer rows in every join)."""
+    def cross_section_plan(self, with_efi: bool = False, on_cohort: bool = False) -> DataFrame:
+        """Cohort ids LEFT JOIN the (stored, one-row-per-patient) feature tables.
+
+        ``on_cohort=True`` instead builds every feature table with the cohort as spine (same
+        values, fewer rows per join) -- the better plan when the feature tables are not reused."""
         ids = self.cohort_ids()
-        on = self.with_spine(ids)
-        feats = [on.biomarkers, on.stage, on.medications, on.comorbidities]
+        src = self.with_spine(ids) if on_cohort else self
+        feats = [src.biomarkers, src.stage, src.medications, src.comorbidities]
         if with_efi:
-            feats.append(on.efi)
+            feats.append(src.efi)
         return CO.cross_section(ids, self.wh.diabetes_cohort, feats, self.index_date)
 
     def cross_section(self, with_efi: bool = False) -> DataFrame:
