@@ -60,7 +60,14 @@ def ensure_store(spark: SparkSession) -> str:
     root = spark.conf.get(STORE_KEY, None)
     if root:
         return root
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) session: the server owns checkpointing
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        spark.conf.set(STORE_KEY, root)
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         if not sc.master.startswith("local"):
