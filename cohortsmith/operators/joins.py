@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 1_000_000  # about 50-100 MB for a (concept, code) list
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
