@@ -53,8 +53,8 @@ def exact_quantiles(long: DataFrame, keys, probs, value: str = "value",
     glob = local.join(small_side(off), ["_pid", *keys]).select(
         *keys, value, (F.col("_off") + F.col("_cum")).alias("_hi"),
         (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_lo"))
-    # target ranks: one row per (group, p, side)
-    n = vc.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    # target ranks: one row per (group, p, side); group sizes from the stored partition totals
+    n = tot.groupBy(*keys).agg(F.sum("_t").alias("_n"))
     h = (F.col("_n") - 1).cast("double") * F.col("p")
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     tgt = (n.select(*keys, "_n", F.explode(probs_arr).alias("p"))

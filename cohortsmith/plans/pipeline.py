@@ -47,7 +47,7 @@ class CohortBuild:
             getattr(self, name)
         other = CohortBuild(self.wh, self.index_date, spine, self._deficits, self.hospital)
         for k, v in self.__dict__.items():
-            if k not in self.SPINE_DEPENDENT and k not in ("_spine", "_stored"):
+            if k not in self.SPINE_DEPENDENT and k not in ("_spine", "_stored_tables"):
                 other.__dict__.setdefault(k, v)
         return other
 
@@ -284,17 +284,22 @@ class CohortBuild:
     def cross_section(self, with_efi: bool = False) -> DataFrame:
         """The cross-section, stored once: the analysis steps downstream read the stored table."""
         key = "cross_section_efi" if with_efi else "cross_section"
-        stored = self.__dict__.setdefault("_stored", {})
+        stored = self.__dict__.setdefault("_stored_tables", {})
         if key not in stored:
-            name = f"{key}_{self.label}_{self.tag}"
+            name = f"{key}_{self.index_date:%Y%m%d}_{self.tag}"
             stored[key] = materialize(self.cross_section_plan(with_efi), name, namespace="analysis")
         return stored[key]
 
     def analysis_ready(self) -> DataFrame:
-        """Flags -> restriction -> complete cases + stage 0 -> pruned columns."""
-        x = CO.treatment_flags(self.cross_section(), self.label)
-        x = CO.recode_stage_zero(CO.restrict_cohort(x))
-        return CO.prune_columns(x, self.label)
+        """Flags -> restriction -> complete cases + stage 0 -> pruned columns; stored once (the
+        descriptive analysis reads the stored extract)."""
+        stored = self.__dict__.setdefault("_stored_tables", {})
+        if "analysis_ready" not in stored:
+            x = CO.treatment_flags(self.cross_section(), self.label)
+            x = CO.prune_columns(CO.recode_stage_zero(CO.restrict_cohort(x)), self.label)
+            name = f"analysis_ready_{self.index_date:%Y%m%d}_{self.tag}"
+            stored["analysis_ready"] = materialize(x, name, namespace="analysis")
+        return stored["analysis_ready"]
 
     def with_eligibility(self) -> DataFrame:
         return CO.eligibility_flags(self.analysis_ready())

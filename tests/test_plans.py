@@ -58,3 +58,12 @@ def test_no_cross_join_or_python_in_any_query(spark):
         p = plan(fn(spark, SF))
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, key
         assert "EvalPython" not in p and "InPandas" not in p, key
+
+
+def test_fresh_build_any_call_order(spark):
+    from cohortsmith.plans.pipeline import CohortBuild
+    from cohortsmith.sources import fixtures as X
+    b = CohortBuild(Warehouse(spark, SF), deficits=X.efi_deficits())
+    ready = b.with_eligibility()          # cross-section and stored extract first ...
+    assert "eligible_finerenone" in ready.columns
+    assert b.biomarkers.count() == b.spine.count()   # ... feature tables afterwards
