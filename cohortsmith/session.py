@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
+    # stored tables are partitioned by a handful of values (e.g. codelist family): write them
+    # concurrently instead of sorting every task's rows by the partition column first
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
@@ -38,6 +41,7 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 
