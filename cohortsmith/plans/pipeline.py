@@ -93,15 +93,18 @@ class CohortBuild:
         return (fam(meas, "measure").unionByName(fam(self.comorbidity_codes, "comorbidity"))
                 .unionByName(fam(self.efi_codes, "efi")))
 
+    @property
+    def coded_observations_plan(self) -> DataFrame:
+        obs = self.wh.observation.withColumnRenamed("testvalue", "value")
+        return E.extract_events(obs, self.observation_codes, code_col="medcodeid", date_col="obsdate",
+                                keep=["value", "numunitid"], code_alias="code")
+
     @cached_property
     def coded_observations(self) -> DataFrame:
         """Observations of all needed concepts from a single scan, stored partitioned by family
         (later reads prune to one family; lost executors recompute from the stored copy)."""
-        obs = self.wh.observation.withColumnRenamed("testvalue", "value")
-        ev = E.extract_events(obs, self.observation_codes, code_col="medcodeid", date_col="obsdate",
-                              keep=["value", "numunitid"], code_alias="code")
-        return materialize(ev, f"coded_observations_{self.tag}", namespace="all_patid",
-                           partition_by=["family"])
+        return materialize(self.coded_observations_plan, f"coded_observations_{self.tag}",
+                           namespace="all_patid", partition_by=["family"])
 
     @cached_property
     def prescription_codes(self) -> DataFrame:
@@ -113,12 +116,15 @@ class CohortBuild:
         oha = E.class_codelist(self.wh.drug_class_lookup, classes=classes, subclasses=C.SEMA_SUBCLASSES)
         return fam(drugs, "drug").unionByName(fam(insulin, "insulin")).unionByName(fam(oha, "oha"))
 
+    @property
+    def coded_prescriptions_plan(self) -> DataFrame:
+        return E.extract_events(self.wh.drug_issue, self.prescription_codes, code_col="prodcodeid",
+                                date_col="issuedate")
+
     @cached_property
     def coded_prescriptions(self) -> DataFrame:
-        ev = E.extract_events(self.wh.drug_issue, self.prescription_codes, code_col="prodcodeid",
-                              date_col="issuedate")
-        return materialize(ev, f"coded_prescriptions_{self.tag}", namespace="all_patid",
-                           partition_by=["family"])
+        return materialize(self.coded_prescriptions_plan, f"coded_prescriptions_{self.tag}",
+                           namespace="all_patid", partition_by=["family"])
 
     # -- measurements --------------------------------------------------------
     @cached_property
@@ -126,12 +132,15 @@ class CohortBuild:
         return (self.coded_observations.filter(F.col("family") == "measure")
                     .select("patid", "concept", "date", "value", "numunitid"))
 
+    @property
+    def clean_plan(self) -> DataFrame:
+        return M.clean_measurements(self.raw_measurements, self.wh.value_limits,
+                                    self.wh.unit_whitelist, self.wh.valid_dates)
+
     @cached_property
     def clean(self) -> DataFrame:
         """Clean measurements, stored: read by the derived measures, baseline and height."""
-        df = M.clean_measurements(self.raw_measurements, self.wh.value_limits,
-                                  self.wh.unit_whitelist, self.wh.valid_dates)
-        return materialize(df, f"clean_measurements_{self.tag}", namespace="all_patid")
+        return materialize(self.clean_plan, f"clean_measurements_{self.tag}", namespace="all_patid")
 
     @cached_property
     def acr_from_separate(self) -> DataFrame:

@@ -12,11 +12,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from cohortsmith import build_session  # noqa: E402
 from cohortsmith.plans import registry  # noqa: E402
 
-DEFAULT = ["coded_events", "clean_measurements", "baseline_nearest", "biomarker_features",
-           "comorbidity_features", "medication_features", "efi", "cross_section_efi", "eligibility",
-           "table_one_continuous", "hosp_prefix_join"]
-
-
 def summary(plan: str) -> dict:
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
     return {
@@ -32,17 +27,33 @@ def summary(plan: str) -> dict:
     }
 
 
+def build_plans(spark, sf: str) -> list[tuple[str, object]]:
+    """The plans that *produce* the stored tables (unstored), then the analysis queries."""
+    b = registry.build_for(spark, sf)
+    lazy = b.with_spine(b.spine)  # same spine, given explicitly: feature tables stay lazy
+    return [
+        ("coded_observations (write)", b.coded_observations_plan),
+        ("coded_prescriptions (write)", b.coded_prescriptions_plan),
+        ("clean_measurements (write)", b.clean_plan),
+        ("baseline_nearest", b.baseline_long),
+        ("biomarkers (write)", lazy.biomarkers),
+        ("comorbidities (write)", lazy.comorbidities),
+        ("medications (write)", lazy.medications),
+        ("efi (write)", lazy.efi),
+        ("cross_section_efi (write)", b.cross_section_plan(True)),
+        ("table_one_continuous", registry.QUERIES["table_one_continuous"](spark, sf)),
+        ("hosp_prefix_join", registry.QUERIES["hosp_prefix_join"](spark, sf)),
+    ]
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    keys = sys.argv[2:] or DEFAULT
-    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "16"})
-    rows = []
-    for k in keys:
-        df = registry.QUERIES[k](spark, sf)
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        rows.append((k, summary(plan)))
+    keys = sys.argv[2:]
+    spark = build_session("local[8]", conf={"spark.sql.shuffle.partitions": "8"})
+    items = ([(k, registry.QUERIES[k](spark, sf)) for k in keys] if keys else build_plans(spark, sf))
+    rows = [(k, summary(df._jdf.queryExecution().executedPlan().toString())) for k, df in items]
     cols = list(rows[0][1])
-    print("| query | " + " | ".join(cols) + " |")
+    print("| plan | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---" for _ in cols) + " |")
     for k, s in rows:
         print(f"| {k} | " + " | ".join(str(s[c]) for c in cols) + " |")
