@@ -104,7 +104,8 @@ class CohortBuild:
         """Observations of all needed concepts from a single scan, stored partitioned by family
         (later reads prune to one family; lost executors recompute from the stored copy)."""
         return materialize(self.coded_observations_plan, f"coded_observations_{self.tag}",
-                           namespace="all_patid", partition_by=["family"])
+                           namespace="all_patid", partition_by=["family"],
+                           sort_within=["family", "concept", "date"])
 
     @cached_property
     def prescription_codes(self) -> DataFrame:
@@ -124,7 +125,8 @@ class CohortBuild:
     @cached_property
     def coded_prescriptions(self) -> DataFrame:
         return materialize(self.coded_prescriptions_plan, f"coded_prescriptions_{self.tag}",
-                           namespace="all_patid", partition_by=["family"])
+                           namespace="all_patid", partition_by=["family"],
+                           sort_within=["family", "concept", "date"])
 
     # -- measurements --------------------------------------------------------
     @cached_property
@@ -140,7 +142,8 @@ class CohortBuild:
     @cached_property
     def clean(self) -> DataFrame:
         """Clean measurements, stored: read by the derived measures, baseline and height."""
-        return materialize(self.clean_plan, f"clean_measurements_{self.tag}", namespace="all_patid")
+        return materialize(self.clean_plan, f"clean_measurements_{self.tag}", namespace="all_patid",
+                           sort_within=["concept", "date"])
 
     @cached_property
     def acr_from_separate(self) -> DataFrame:

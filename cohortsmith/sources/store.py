@@ -42,17 +42,21 @@ def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | N
 
 
 def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh: bool = False,
-                partition_by: list[str] | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
     """Write ``df`` once under namespace/name and return the stored table.
 
     A later call with the same name returns the stored table without evaluating ``df``
     again (``refresh=True`` rewrites it).  The stored copy cuts the lineage, so lost
-    executors recompute from it rather than from the raw scans."""
+    executors recompute from it rather than from the raw scans.
+    ``sort_within`` orders rows inside each task before writing (no shuffle), so Parquet min/max
+    statistics let later filters on those columns skip row groups."""
     spark = df.sparkSession
     if not refresh:
         got = read_stored(spark, namespace, name)
         if got is not None:
             return got
+    if sort_within:
+        df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
