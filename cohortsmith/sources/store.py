@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import threading
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -51,16 +52,31 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
     ``sort_within`` orders rows inside each task before writing (no shuffle), so Parquet min/max
     statistics let later filters on those columns skip row groups."""
     spark = df.sparkSession
-    if not refresh:
-        got = read_stored(spark, namespace, name)
-        if got is not None:
-            return got
+    path = table_path(spark, namespace, name)
+    with _lock_for(path):  # queries started from several threads never write one table twice
+        if not refresh:
+            got = read_stored(spark, namespace, name)
+            if got is not None:
+                return got
+        return _write(df, path, name, partition_by, sort_within)
+
+
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(path: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
+
+
+def _write(df: DataFrame, path: str, name: str, partition_by, sort_within) -> DataFrame:
+    spark = df.sparkSession
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    path = table_path(spark, namespace, name)
     w.parquet(path)
     spark.createDataFrame([(name,)], "name string").write.mode("overwrite").parquet(_marker(path))
     return spark.read.parquet(path)
