@@ -56,19 +56,20 @@ class Warehouse:
         tag = code_digest(self.sf_dir)
         return materialize(df, f"{name}_{tag}", namespace="lookups")
 
-    def raw(self, name: str, spread: bool = False) -> DataFrame:
-        """Read a driver table.  ``spread``: an input stored as fewer splits than the default
-        parallelism (e.g. one row group) is spread round-robin over the cores, so the map
-        side of the plan is not a single task.  With a many-file input this is a no-op."""
+    def raw(self, name: str, spread_by: str | None = None) -> DataFrame:
+        """Read a driver table.  ``spread_by``: an input stored as fewer splits than the default
+        parallelism (e.g. one row group) is hash-spread over the cores on that (unique, skew-free)
+        key, so the map side of the plan is not a single task; hashing is deterministic without
+        the sort a round-robin spread needs.  With a many-file input this is a no-op."""
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if spread:
+        if spread_by:
             try:
                 target = self.spark.sparkContext.defaultParallelism
                 splits = df.rdd.getNumPartitions()
             except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
                 return df
             if splits < target:
-                df = df.repartition(target)
+                df = df.repartition(target, spread_by)
         return df
 
     # -- patients -----------------------------------------------------------
@@ -144,7 +145,7 @@ class Warehouse:
     # -- events ---------------------------------------------------------------
     @cached_property
     def _lines(self) -> DataFrame:
-        li = self.raw("lineitem", spread=True).select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        li = self.raw("lineitem", spread_by="l_orderkey").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                          "l_quantity", "l_shipdate")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         return li.join(o, li.l_orderkey == o.o_orderkey)
