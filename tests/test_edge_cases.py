@@ -208,3 +208,15 @@ def test_materialize_reads_back_only_committed(spark):
     S.materialize(df, name, namespace="tests")
     again = S.materialize(spark.createDataFrame([(2,)], "x int"), name, namespace="tests")
     assert [r.x for r in again.collect()] == [1]  # stored copy, not re-evaluated
+
+
+def test_materialize_refresh_and_snapshots(spark):
+    from cohortsmith.sources import store as S
+    name = "probe_refresh_" + str(abs(hash(str(dt.datetime.now()))))
+    S.materialize(spark.createDataFrame([(1,)], "x int"), name, namespace="tests")
+    again = S.materialize(spark.createDataFrame([(2,)], "x int"), name, namespace="tests", refresh=True)
+    assert [r.x for r in again.collect()] == [2]
+    S.write_snapshot(spark.createDataFrame([(1,)], "x int"), name, dt.date(2025, 7, 10))
+    S.write_snapshot(spark.createDataFrame([(2,)], "x int"), name, dt.date(2025, 7, 11))
+    assert [r.x for r in S.read_snapshot(spark, name).collect()] == [2]
+    assert [r.x for r in S.read_snapshot(spark, name, dt.date(2025, 7, 10)).collect()] == [1]
