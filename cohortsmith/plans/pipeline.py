@@ -25,6 +25,13 @@ from ..sources.adapter import Warehouse
 
 
 class CohortBuild:
+    """All tables of one analysis at one index date.
+
+    Event tables are extracted once per source (``coded_observations``, ``coded_prescriptions``)
+    and stored; cleaning, derived measures, baseline picks and per-family feature tables are built
+    from them on first access.  Feature tables on the full patient spine are stored; with a custom
+    ``spine`` they stay lazy.  ``deficits`` fixes the frailty lists (else found in the catalogue)."""
+
     def __init__(self, wh: Warehouse, index_date: dt.date = C.INDEX_DATE, spine: DataFrame | None = None,
                  deficits: list[str] | None = None, hospital: bool = False):
         """``hospital=True`` adds the (dormant) hospital sources to the comorbidities: ICD-10
