@@ -10,14 +10,49 @@ from ..functions.columns import as_date, day_diff, in_window
 
 
 def nearest_to_index(ev: DataFrame, index_date, *, lo: int = C.BASELINE_LO, hi: int = C.BASELINE_HI,
-                     prefer_max=C.PREFER_MAX) -> DataFrame:
+                     prefer_max=C.PREFER_MAX, one_row_per_day: bool = True) -> DataFrame:
     """Per (patid, concept): the value nearest the index date within [lo, hi] days.
 
     Ties: smallest |days| -> smallest value (largest for ``prefer_max`` concepts) -> the earlier
-    side.  One aggregate over an ordering struct: partial aggregation happens before the
-    shuffle, so a patient or concept holding a large share of rows never lands whole in one
-    task.  Rows whose nearest value is NULL give no row (as a NULL never equals the minimum).
-    Output: patid, concept, value, date, datediff."""
+    side.  Rows whose nearest value is NULL give no row (a NULL never equals the minimum).
+    Output: patid, concept, value, date, datediff.
+
+    With one row per (patid, concept, day) -- what the daily mean produces -- the order is
+    encoded in two integer keys, ``2|d| + (d > 0)`` (earlier side first) and ``2|d| + (d <= 0)``
+    (later side first); ``min`` / ``min_by`` on them are hash aggregates with map-side partial
+    aggregation, so a patient or concept holding a large share of rows never lands whole in one
+    task.  The two candidates at the minimum distance are then compared on value.  Otherwise
+    (``one_row_per_day=False``) the same rule runs as one aggregate over an ordering struct."""
+    if not one_row_per_day:
+        return _nearest_struct(ev, index_date, lo=lo, hi=hi, prefer_max=prefer_max)
+    dd = day_diff(F.col("date"), index_date)
+    dist = F.abs(dd).cast("long") * 2
+    k_early = dist + (dd > 0).cast("long")
+    k_late = dist + (dd <= 0).cast("long")
+    g = (ev.filter(in_window(F.col("date"), index_date, lo, hi))
+           .groupBy("patid", "concept").agg(
+               F.min(k_early).alias("_ka"), F.min_by("value", k_early).alias("_va"),
+               F.min_by("date", k_early).alias("_da"),
+               F.min(k_late).alias("_kb"), F.min_by("value", k_late).alias("_vb"),
+               F.min_by("date", k_late).alias("_db")))
+    flip = F.col("concept").isin(list(prefer_max))
+    sa = F.when(flip, -F.col("_va")).otherwise(F.col("_va"))
+    sb = F.when(flip, -F.col("_vb")).otherwise(F.col("_vb"))
+    take_a = F.col("_va").isNotNull() & (F.col("_vb").isNull() | (sa <= sb))
+    half = F.floor(F.col("_ka") / 2).cast("int")
+    dd_a = F.when(F.col("_ka") % 2 == 1, half).otherwise(-half)
+    half_b = F.floor(F.col("_kb") / 2).cast("int")
+    dd_b = F.when(F.col("_kb") % 2 == 0, half_b).otherwise(-half_b)
+    out = g.select("patid", "concept",
+                   F.when(take_a, F.col("_va")).otherwise(F.col("_vb")).alias("value"),
+                   F.when(take_a, F.col("_da")).otherwise(F.col("_db")).alias("date"),
+                   F.when(take_a, dd_a).otherwise(dd_b).alias("datediff"))
+    return out.filter(F.col("value").isNotNull())
+
+
+def _nearest_struct(ev: DataFrame, index_date, *, lo: int, hi: int, prefer_max) -> DataFrame:
+    """Nearest pick as ``min(struct(|days|, value is NULL, +/-value, days, date, value))``: any
+    number of rows per day (sort-based aggregation, still partial before the shuffle)."""
     dd = day_diff(F.col("date"), index_date)
     signed = F.when(F.col("concept").isin(list(prefer_max)), -F.col("value")).otherwise(F.col("value"))
     key = F.struct(F.abs(dd).alias("a"), F.col("value").isNull().alias("n"), signed.alias("s"),

@@ -57,3 +57,10 @@ def test_fixture_codelists_have_no_duplicate_codes(spark):
     from cohortsmith.plans import registry
     b = registry.build_for(spark, "/root/testdata/sf0.001")
     assert duplicate_codes(b.wh.codelists).count() == 0
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows_st)
+def test_hash_and_struct_nearest_agree(spark, rows):
+    ev = frame(spark, rows)
+    assert as_set(B.nearest_to_index(ev, IDX)) == as_set(B.nearest_to_index(ev, IDX, one_row_per_day=False))
