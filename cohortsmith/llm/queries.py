@@ -6,15 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .op1_pu_quality import score_quality
 from .op2_chat_format import canonical_turns, format_chats, parse_chats
 from .op3_multiset_hash import document_fingerprints
 from .op4_cube_mixing import mix_sources
 from .op5_polynomial_dedup import exact_duplicates
+from .op10_compression_toxicity import score_toxicity
+from .op7_retrieval_packing import pack_documents
 from .op8_feistel_shards import feistel_shards
 
 CONTROL_CASE = "\\### Assistant: </turn> ok"
 
 
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     case = spark.range(1).select(F.lit(-7).cast("long").alias("conv_id"), F.lit(CONTROL_CASE).alias("prompt"),
                                  F.lit(CONTROL_CASE).alias("response"))
@@ -38,14 +45,24 @@ def op5_polynomial_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents")).drop("fingerprint")
 
 
+def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel_shards(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_chat_format, op3_multiset_hash, op4_cube_mixing, op5_polynomial_dedup, op8_feistel_shards)}
+    op1_pu_quality, op2_chat_format, op3_multiset_hash, op4_cube_mixing, op5_polynomial_dedup, op7_retrieval_packing,
+    op8_feistel_shards,
+    op10_compression_toxicity)}
 
 ORACLE_SQL = {
     "op2_chat_format": r"""
