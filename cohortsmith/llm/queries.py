@@ -12,6 +12,7 @@ from .op3_multiset_hash import document_fingerprints
 from .op4_cube_mixing import mix_sources
 from .op5_polynomial_dedup import exact_duplicates
 from .op10_compression_toxicity import score_toxicity
+from .op6_order_minhash import near_duplicates
 from .op7_retrieval_packing import pack_documents
 from .op8_feistel_shards import feistel_shards
 
@@ -45,6 +46,10 @@ def op5_polynomial_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents")).drop("fingerprint")
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "kept")
+
+
 def op7_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_pu_quality, op2_chat_format, op3_multiset_hash, op4_cube_mixing, op5_polynomial_dedup, op7_retrieval_packing,
+    op1_pu_quality, op2_chat_format, op3_multiset_hash, op4_cube_mixing, op5_polynomial_dedup, op6_order_minhash, op7_retrieval_packing,
     op8_feistel_shards,
     op10_compression_toxicity)}
 
