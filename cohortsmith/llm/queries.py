@@ -11,6 +11,7 @@ from .op2_chat_format import canonical_turns, format_chats, parse_chats
 from .op3_multiset_hash import document_fingerprints
 from .op4_cube_mixing import mix_sources
 from .op5_polynomial_dedup import exact_duplicates
+from .op9_suffix_dedup import remove_repeats
 from .op10_compression_toxicity import score_toxicity
 from .op6_order_minhash import near_duplicates
 from .op7_retrieval_packing import pack_documents
@@ -60,13 +61,20 @@ def op8_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    return remove_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_pu_quality, op2_chat_format, op3_multiset_hash, op4_cube_mixing, op5_polynomial_dedup, op6_order_minhash, op7_retrieval_packing,
-    op8_feistel_shards,
+    op8_feistel_shards, op9_suffix_dedup,
     op10_compression_toxicity)}
 
 ORACLE_SQL = {
