@@ -27,7 +27,7 @@ import random
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, whole_text
@@ -107,7 +107,8 @@ def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES, block: int = BLOCK) -> DataFrame:
-    """doc_id, source, size, source_size, target, times, taken of every document."""
+    """doc_id, source, size, source_size, target, times, taken, h (hash of id and text) of every
+    document."""
     spark = docs.sparkSession
     sized = stored(docs.select("doc_id", F.col("source").cast("string").alias("source"),
                                F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"),
@@ -139,4 +140,15 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES, block:
         rows = rows.withColumn("_block", F.pmod(F.xxhash64("_h", F.lit(level)), F.col("_blocks")))
     times = F.col("_whole") + F.round("_p").cast("long")
     return decided.select("doc_id", "source", "size", "source_size", "target",
-                          times.alias("times"), (times * F.col("size")).alias("taken"))
+                          times.alias("times"), (times * F.col("size")).alias("taken"), F.col("_h").alias("h"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, with all their columns."""
+    take = (mix_sources(docs, weights, most).groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
+            .agg(F.sum("times").cast("int").alias("_times")).filter("_times > 0"))
+    t = docs.withColumn("_k", F.xxhash64("doc_id", whole_text()))
+    t = t.join(take, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_h")))
+    once = Window.partitionBy(F.coalesce("doc_id", F.lit(0)), F.isnull("doc_id"), "_k").orderBy(F.lit(1))
+    t = t.withColumn("_n", F.row_number().over(once)).filter("_n = 1")
+    return t.withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).drop("_d", "_h", "_k", "_n", "_times")
