@@ -6,7 +6,7 @@ import uuid
 import zlib
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_store
@@ -38,6 +38,22 @@ def fold_of(doc_id, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 
 
+def matching_rows(docs: DataFrame, key: Column, keep: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, key) is in ``keep`` (doc_id, key[, times]), with all
+    their columns whatever their names; of repeated rows one, ``times`` times if given.
+
+    One exchange of the rows: the join leaves them sorted by the keys that the window needs."""
+    times = F.col("times").cast("int") if "times" in keep.columns else F.lit(1)
+    wanted = keep.select(F.col("doc_id").alias("_wid"), F.col("key").alias("_wkey"), times.alias("_times"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), key.alias("_key"))
+    rows = rows.join(wanted, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_key") == F.col("_wkey")))
+    same = Window.partitionBy(F.coalesce("_id", F.lit(0)), F.isnull("_id"), "_key").orderBy(F.lit(1))
+    rows = rows.select("_row", "_times", F.row_number().over(same).alias("_nth")).filter("_nth = 1")
+    if "times" in keep.columns:
+        rows = rows.select("_row", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return rows.select("_row.*")
+
+
 def numbered(df: DataFrame, order: list[str], to: str = "row") -> tuple[DataFrame, int]:
     """``df`` with gapless global numbers from 0 in ``order`` (nulls first), and the row count.
 

@@ -95,6 +95,10 @@ def _canonical_role(role: Column) -> Column:
     return F.coalesce(F.try_element_at(names, F.coalesce(role.cast("string"), F.lit(""))), role.cast("string"))
 
 
+def _turn_of(role: str, text: str):
+    return lambda m: _turn(_canonical_role(m[role]), m[text])
+
+
 def _from_fields(fields, get) -> Column:
     merged: list[list] = []
     for role, path in fields:
@@ -115,7 +119,7 @@ def canonical_turns(df: DataFrame, key: str = "conv_id", layouts=LAYOUTS) -> Dat
         return rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["t"]).alias("turns"))
     if x.kind == "list":
         at, role, text = x.fields
-        turns = F.transform(F.col(at), lambda m: _turn(_canonical_role(m[role]), m[text]))
+        turns = F.transform(F.col(at), _turn_of(role, text))
     else:
         turns = _from_fields(x.fields, F.col)
     return df.select(F.col(key), turns.cast(TURNS).alias("turns"))
@@ -140,7 +144,7 @@ def canonical_json(df: DataFrame, record: str, key: str = "conv_id", layouts=LAY
         if x.kind == "list":
             at, role, said = x.fields
             got = F.try_variant_get("_v", f"$.{at}", f"array<struct<`{role}`:string,`{said}`:string>>")
-            made = F.transform(got, lambda m, r=role, s=said: _turn(_canonical_role(m[r]), m[s]))
+            made = F.transform(got, _turn_of(role, said))
         else:
             made = _from_fields(x.fields, text)
         name, turns = F.when(hit, F.lit(x.name)).otherwise(name), F.when(hit, made.cast(TURNS)).otherwise(turns)

@@ -27,10 +27,10 @@ import random
 import zlib
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import matching_rows, stored, whole_text
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 2000
@@ -145,10 +145,6 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES, block:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, most: int = MOST_TIMES) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them, with all their columns."""
-    take = (mix_sources(docs, weights, most).groupBy(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-            .agg(F.sum("times").cast("int").alias("_times")).filter("_times > 0"))
-    t = docs.withColumn("_k", F.xxhash64("doc_id", whole_text()))
-    t = t.join(take, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_k") == F.col("_h")))
-    once = Window.partitionBy(F.coalesce("doc_id", F.lit(0)), F.isnull("doc_id"), "_k").orderBy(F.lit(1))
-    t = t.withColumn("_n", F.row_number().over(once)).filter("_n = 1")
-    return t.withColumn("_n", F.explode(F.sequence(F.lit(1), "_times"))).drop("_d", "_h", "_k", "_n", "_times")
+    take = (mix_sources(docs, weights, most).groupBy("doc_id", F.col("h").alias("key"))
+            .agg(F.sum("times").alias("times")).filter("times > 0"))
+    return matching_rows(docs, F.xxhash64("doc_id", whole_text()), take)

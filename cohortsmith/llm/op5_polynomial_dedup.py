@@ -20,10 +20,10 @@ import string
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, whole_text
+from .common import matching_rows, stored, whole_text
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_243, 1_664_525_021, 754_077_413, 1_903_815_317)
@@ -116,9 +116,5 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    keep = (exact_duplicates(docs).filter("kept")
-            .select(F.col("doc_id").alias("_d"), F.col("text_sha256").alias("_s")))
-    t = docs.withColumn("_t", F.sha2(normalised(), 256))
-    t = t.join(keep, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_s")), "left_semi")
-    once = Window.partitionBy(F.coalesce("doc_id", F.lit(0)), F.isnull("doc_id"), "_t").orderBy(F.lit(1))
-    return t.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_t", "_n")
+    keep = exact_duplicates(docs).filter("kept").select("doc_id", F.col("text_sha256").alias("key"))
+    return matching_rows(docs, F.sha2(normalised(), 256), keep)

@@ -31,10 +31,10 @@ from bisect import bisect_left
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frames, stored, whole_text
+from .common import frames, matching_rows, stored, whole_text
 from .components import components
 
 WORDS = 5
@@ -223,8 +223,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per class, with all its columns."""
-    keep = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_d"), F.col("h").alias("_k"))
-    t = docs.withColumn("_h", F.xxhash64(whole_text()))
-    t = t.join(keep, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_h") == F.col("_k")), "left_semi")
-    once = Window.partitionBy(F.coalesce("doc_id", F.lit(0)), F.isnull("doc_id"), "_h").orderBy(F.lit(1))
-    return t.withColumn("_n", F.row_number().over(once)).filter("_n = 1").drop("_h", "_n")
+    keep = near_duplicates(docs).filter("kept").select("doc_id", F.col("h").alias("key")).distinct()
+    return matching_rows(docs, F.xxhash64(whole_text()), keep)
