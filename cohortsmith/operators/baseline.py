@@ -10,19 +10,20 @@ from ..functions.columns import as_date, day_diff, in_window
 
 
 def nearest_to_index(ev: DataFrame, index_date, *, lo: int = C.BASELINE_LO, hi: int = C.BASELINE_HI,
-                     prefer_max=C.PREFER_MAX, one_row_per_day: bool = True) -> DataFrame:
+                     prefer_max=C.PREFER_MAX, one_row_per_day: bool = False) -> DataFrame:
     """Per (patid, concept): the value nearest the index date within [lo, hi] days.
 
     Ties: smallest |days| -> smallest value (largest for ``prefer_max`` concepts) -> the earlier
     side.  Rows whose nearest value is NULL give no row (a NULL never equals the minimum).
     Output: patid, concept, value, date, datediff.
 
-    With one row per (patid, concept, day) -- what the daily mean produces -- the order is
+    By default any number of rows per day is right (one aggregate over an ordering struct).
+    ``one_row_per_day=True`` is for input with one row per (patid, concept, day), as the daily
+    mean produces, and wrong on other input: the order is
     encoded in two integer keys, ``2|d| + (d > 0)`` (earlier side first) and ``2|d| + (d <= 0)``
     (later side first); ``min`` / ``min_by`` on them are hash aggregates with map-side partial
     aggregation, so a patient or concept holding a large share of rows never lands whole in one
-    task.  The two candidates at the minimum distance are then compared on value.  Otherwise
-    (``one_row_per_day=False``) the same rule runs as one aggregate over an ordering struct."""
+    task.  The two candidates at the minimum distance are then compared on value."""
     if not one_row_per_day:
         return _nearest_struct(ev, index_date, lo=lo, hi=hi, prefer_max=prefer_max)
     dd = day_diff(F.col("date"), index_date)

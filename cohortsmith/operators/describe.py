@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import small_side
-
 
 def missingness(df: DataFrame, cols) -> DataFrame:
     """Percent of rows with a NULL, rounded half-to-even; one row per variable."""
@@ -50,7 +48,7 @@ def exact_quantiles(long: DataFrame, keys, probs, value: str = "value",
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(
         Window.partitionBy(*keys).orderBy("_pid")
               .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_t")
-    glob = local.join(small_side(off), ["_pid", *keys]).select(
+    glob = local.join(off, ["_pid", *keys]).select(
         *keys, value, (F.col("_off") + F.col("_cum")).alias("_hi"),
         (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_lo"))
     # target ranks: one row per (group, p, side); group sizes from the stored partition totals
@@ -65,7 +63,7 @@ def exact_quantiles(long: DataFrame, keys, probs, value: str = "value",
         F.struct(F.lit(0).alias("side"), F.col("_r0").alias("r")),
         F.struct(F.lit(1).alias("side"), F.col("_r1").alias("r")))).alias("t")).select(
         *keys, "p", "_frac", "t.side", "t.r")
-    hit = glob.join(small_side(ranks), keys).filter(F.col("r").between(F.col("_lo"), F.col("_hi")))
+    hit = glob.join(ranks, keys).filter(F.col("r").between(F.col("_lo"), F.col("_hi")))
     q = hit.groupBy(*keys, "p").agg(
         F.first("_frac").alias("_frac"),
         F.max(F.when(F.col("side") == 0, F.col(value))).alias("_x0"),
@@ -103,3 +101,19 @@ def table_one_categorical(df: DataFrame, factors, strata: str) -> DataFrame:
 def table_one_n(df: DataFrame, strata: str) -> DataFrame:
     return (df.filter(F.col(strata).isNotNull())
               .groupBy(F.col(strata).cast("string").alias("stratum")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def table_one(df: DataFrame, vars_, strata: str, *, factors=(), nonnormal=()) -> DataFrame:
+    """The three pieces as one long table: part ('n', 'continuous', 'categorical'), stratum,
+    variable, level, n, mean, sd, p25, median, p75, pct; what a part has not is NULL."""
+    factors = list(factors)
+    cols = {"part": "string", "stratum": "string", "variable": "string", "level": "string", "n": "bigint", "mean": "double",
+            "sd": "double", "p25": "double", "median": "double", "p75": "double", "pct": "double"}
+    parts = {"n": table_one_n(df, strata), "continuous": table_one_continuous(df, [v for v in vars_ if v not in factors], strata, nonnormal),
+             "categorical": table_one_categorical(df, factors, strata)}
+    out = None
+    for name, part in parts.items():
+        p = part.withColumn("part", F.lit(name))
+        p = p.select(*[(F.col(c) if c in p.columns else F.lit(None)).cast(t).alias(c) for c, t in cols.items()])
+        out = p if out is None else out.unionByName(p)
+    return out

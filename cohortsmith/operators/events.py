@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import isin_strict
-from .joins import join_small, prefix_join, small_side
+from ..functions.columns import day_diff, isin_strict
+from .joins import prefix_join
 
 
 def select_codes(codelists: DataFrame, *, code_system: str | None = None, version=None,
@@ -32,12 +32,12 @@ def extract_events(events: DataFrame, codes: DataFrame, *, code_col: str, date_c
 
     ``codes`` is a (concept, code [, tags...]) table; a code in several lists yields one row
     per list; extra code-table columns (e.g. a ``family`` tag) are carried to the output.
-    The codelist side is broadcast when its size is within the checked bound.
+    The codelist side is broadcast when its size in bytes is under Spark's threshold.
     Output: patid, concept, date, *tags, *keep [, code].
     """
     extra = [c for c in codes.columns if c not in ("code", "concept", "version", "code_system")]
     c = codes.select(F.col("code").alias("_code"), "concept", *extra)
-    joined = join_small(events, c, events[code_col] == F.col("_code"))
+    joined = events.join(c, events[code_col] == F.col("_code"))
     out = [F.col("patid"), F.col("concept"), F.col(date_col).alias("date"), *[F.col(x) for x in extra]]
     out += [F.col(k) if isinstance(k, str) else k for k in keep]
     if code_alias:
@@ -57,6 +57,25 @@ def restrict_to_registration(ev: DataFrame, valid: DataFrame, *, start_col: str
               .drop("_lo", "_hi"))
 
 
+def restrict_dates(ev: DataFrame, valid: DataFrame, *, late_end: str = "late") -> DataFrame:
+    """Distinct (patid, concept, date) inside the patient's valid period.
+
+    Features need dates only, so equal rows go first: a combine on the map side, after which a
+    patient has at most one row per concept and day, however many rows it had.  Rows whose
+    Boolean ``late_end`` is TRUE end at gp_ons_end_date, the others at gp_end_date: one join for
+    all prescription families."""
+    slim = ev.select("patid", "concept", "date", F.col(late_end).alias("_late")).distinct()
+    v = valid.select("patid", "min_dob", "gp_end_date", "gp_ons_end_date")
+    end = F.when(F.col("_late"), F.col("gp_ons_end_date")).otherwise(F.col("gp_end_date"))
+    return (slim.join(v, "patid").filter((F.col("date") >= F.col("min_dob")) & (F.col("date") <= end))
+                .select("patid", "concept", "date"))
+
+
+def with_datediff(ev: DataFrame, index_date, date_col: str = "date") -> DataFrame:
+    """Every event with its signed day relative to the index date."""
+    return ev.withColumn("datediff", day_diff(F.col(date_col), index_date))
+
+
 def tag_sources(sources: dict[str, DataFrame]) -> DataFrame:
     """Union of code sources (each: patid, concept, date, code) with a ``source`` tag."""
     out = None
@@ -121,7 +140,7 @@ def hospital_procedures(proc: DataFrame, codes: DataFrame) -> DataFrame:
     """Hospital OPCS-4 events, equi join on differing key names (OPCS = opcs4 code)."""
     c = codes.select(F.regexp_replace("concept", "^opcs4_", "").alias("concept"),
                      F.col("code").alias("opcs4"))
-    j = proc.join(small_side(c), proc["OPCS"] == F.col("opcs4"))
+    j = proc.join(c, proc["OPCS"] == F.col("opcs4"))
     return j.select("patid", "concept", F.col("evdate").alias("date"), F.col("OPCS").alias("code"))
 
 

@@ -1,39 +1,15 @@
-"""Join helpers: size-checked broadcast and the prefix (LIKE 'x%') join as an equi join."""
+"""The prefix (LIKE 'x%') join as an equi join.
+
+No join here carries a broadcast hint: Spark broadcasts a side when its size in bytes is under
+``spark.sql.autoBroadcastJoinThreshold``, by its statistics or, with AQE, as measured."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000  # about 50-100 MB for a (concept, code) list
-
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Reads at most max_rows + 1 rows; the
-    answer is remembered on the DataFrame object, so a reused frame is checked once."""
-    memo = getattr(df, "_row_bound_memo", None)
-    if memo is None:
-        memo = {}
-        df._row_bound_memo = memo
-    if max_rows not in memo:
-        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-    return memo[max_rows]
-
-
-def small_side(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast-hinted ``df`` when its row count is within the bound; otherwise ``df`` as is,
-    so Spark plans a shuffle join (and AQE may still demote it at run time)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return big.join(small_side(small, max_rows), on, how)
-
 
-def prefix_join(events: DataFrame, code_col: str, prefixes: DataFrame, prefix_col: str,
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def prefix_join(events: DataFrame, code_col: str, prefixes: DataFrame, prefix_col: str) -> DataFrame:
     """``events JOIN prefixes ON events.code LIKE prefix || '%'`` as an equi join.
 
     A LIKE condition forces a nested-loop join.  Instead each event is expanded to its
@@ -43,12 +19,9 @@ def prefix_join(events: DataFrame, code_col: str, prefixes: DataFrame, prefix_co
     """
     lengths = sorted(r[0] for r in prefixes.select(F.length(prefix_col)).distinct().collect()
                      if r[0] is not None)
-    if not lengths:
-        return events.join(prefixes, F.lit(False))
-    arr = F.array(*[F.lit(n) for n in lengths])
+    arr = F.array(*[F.lit(n) for n in lengths]).cast("array<int>")
     code = F.col(code_col)
     # only lengths up to the code's own length, so a short code is not matched twice
     expanded = events.withColumn("_prefix", F.explode(F.transform(
         F.filter(arr, lambda n: n <= F.length(code)), lambda n: F.substring(code, 1, n))))
-    side = small_side(prefixes, max_rows)
-    return expanded.join(side, expanded["_prefix"] == side[prefix_col]).drop("_prefix")
+    return expanded.join(prefixes, expanded["_prefix"] == prefixes[prefix_col]).drop("_prefix")

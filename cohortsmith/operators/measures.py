@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.columns import egfr_ckd_epi_2021, hba1c_to_mmol, sex_label, years_between
 from .events import restrict_to_registration
-from .joins import join_small, small_side
 
 
 def apply_value_limits(ev: DataFrame, limits: DataFrame, *, limit_concept: str | None = None) -> DataFrame:
@@ -25,16 +24,15 @@ def apply_value_limits(ev: DataFrame, limits: DataFrame, *, limit_concept: str |
             raise ValueError(f"expected one limits row for {limit_concept!r}, found {len(rows)}")
         return ev.filter(F.col("value").between(F.lit(rows[0].lo), F.lit(rows[0].hi)))
     lim = limits.select(F.col("concept").alias("_lc"), "lo", "hi")
-    j = join_small(ev, lim, F.col("concept") == F.col("_lc")).drop("_lc")
+    j = ev.join(lim, F.col("concept") == F.col("_lc")).drop("_lc")
     return j.filter(F.col("value").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
 
 
 def apply_unit_whitelist(ev: DataFrame, units: DataFrame) -> DataFrame:
     """Keep rows whose (concept, numunitid) is listed; a NULL unit matches a listed NULL."""
     u = units.select(F.col("concept").alias("_uc"), F.col("numunitid").alias("_uu"))
-    side = small_side(u)
     cond = (F.col("concept") == F.col("_uc")) & F.col("numunitid").eqNullSafe(F.col("_uu"))
-    return ev.join(side, cond, "left_semi")
+    return ev.join(u, cond, "left_semi")
 
 
 def daily_mean(ev: DataFrame) -> DataFrame:
@@ -53,15 +51,16 @@ def clean_measurements(raw: DataFrame, limits: DataFrame, units: DataFrame, vali
                        hba1c_min_year: int = C.HBA1C_MIN_YEAR) -> DataFrame:
     """raw (patid, concept, date, value, numunitid) -> one clean value per patient-concept-day.
 
-    Order: HbA1c unit conversion -> value limits -> unit whitelist -> daily mean ->
-    valid-registration filter (and HbA1c calendar floor)."""
+    HbA1c unit conversion -> value limits -> unit whitelist -> valid-registration filter (and
+    HbA1c calendar floor) -> daily mean.  The filters are per patient-day, so they may go first,
+    and the registration join's partitioning on patid then serves the daily mean as well: one
+    exchange of the events."""
     ev = convert_hba1c(raw, hba1c)
     ev = apply_value_limits(ev, limits)
     ev = apply_unit_whitelist(ev, units)
-    ev = daily_mean(ev)
-    ev = restrict_to_registration(ev, valid, end_col=end_col)
     floor = F.lit(dt.date(hba1c_min_year, 1, 1))
-    return ev.filter((F.col("concept") != hba1c) | (F.col("date") >= floor))
+    ev = ev.filter((F.col("concept") != hba1c) | (F.col("date") >= floor))
+    return daily_mean(restrict_to_registration(ev, valid, end_col=end_col))
 
 
 def same_day_ratio(clean: DataFrame, limits: DataFrame, *, num: str = "albumin_urine",

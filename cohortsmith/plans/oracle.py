@@ -120,6 +120,7 @@ _fixed = ([(C.VERSION_2024.isoformat(), c, "icd10", code) for c, code in X.icd10
 cte("codelists", f"""
 SELECT {V24} AS version, {_meas_concept} AS concept, 'medcode' AS code_system, code FROM parts
 UNION ALL SELECT {V24}, {_size_concept}, 'medcode', code FROM parts WHERE p_size % 10 < {len(X.SIZE_CONCEPT)}
+UNION ALL SELECT {V24}, {_q(X.THIRD_CONCEPT)}, 'medcode', code FROM parts WHERE p_partkey % {X.THIRD_EVERY} = 0
 UNION ALL SELECT {V24}, b.concept, 'medcode', code FROM parts JOIN dx_brands b ON brand = b.cb
 UNION ALL SELECT {V21}, b.concept, 'medcode', code FROM parts JOIN dx_brands b ON brand = b.cb
   WHERE b.cb <= 20 AND p_partkey % 2 = 0
@@ -130,8 +131,8 @@ UNION ALL SELECT {V24}, {_drug}, 'prodcode', code FROM parts WHERE p_partkey % 7
 UNION ALL SELECT {V21}, {_drug}, 'prodcode', code FROM parts WHERE p_partkey % 7 < {len(X.DRUG_CODE)} AND p_partkey % 7 <> 5
 UNION ALL SELECT CAST(version AS DATE), concept, code_system, code FROM ({_values(_fixed, ['version', 'concept', 'code_system', 'code'])})
 """)
-_cls = _case("p_size % 8", [(i, _q(c)) for i, c in enumerate(X.OHA_CLASS_BY_SIZE)])
-_sub = _case("p_partkey % 3", [(i, _q(c)) for i, c in enumerate(X.SEMA_BY_KEY)])
+_cls = _case(f"p_size % {len(X.OHA_CLASS_BY_SIZE)}", [(i, _q(c)) for i, c in enumerate(X.OHA_CLASS_BY_SIZE)])
+_sub = _case(f"p_partkey % {len(X.SEMA_BY_KEY)}", [(i, _q(c)) for i, c in enumerate(X.SEMA_BY_KEY)])
 cte("drug_class_lookup", f"""SELECT code AS prodcodeid, {_cls} AS drug_class_1,
   CASE WHEN {_cls} = 'glp1' THEN {_sub} END AS drug_substance_2,
   CAST({_cls} = 'glp1' AND p_partkey % 5 = 0 AS INTEGER) AS INS FROM parts""")
@@ -179,13 +180,9 @@ cte("measures", "SELECT * FROM clean UNION ALL SELECT * FROM acr_sep UNION ALL S
 _BASE = C.baseline_concepts() + [C.HBA1C]
 cte("bw", f"""SELECT *, {_dd('date', IDX)} AS datediff FROM measures
   WHERE concept IN {_in(_BASE)} AND {_dd('date', IDX)} <= {C.BASELINE_HI} AND {_dd('date', IDX)} >= {C.BASELINE_LO}""")
-cte("bw1", "SELECT *, min(abs(datediff)) OVER (PARTITION BY patid, concept) AS min_timediff FROM bw")
-cte("bw2", "SELECT * FROM bw1 WHERE abs(datediff) = min_timediff")
-cte("bw3", f"""SELECT *, CASE WHEN concept IN {_in(C.PREFER_MAX)} THEN max(value) OVER (PARTITION BY patid, concept)
-  ELSE min(value) OVER (PARTITION BY patid, concept) END AS pick FROM bw2""")
-cte("bw4", "SELECT * FROM bw3 WHERE pick = value")
-cte("bw5", "SELECT *, row_number() OVER (PARTITION BY patid, concept ORDER BY datediff) AS rn FROM bw4")
-cte("baseline", "SELECT patid, concept, value, date, datediff FROM bw5 WHERE rn = 1")
+cte("ranked", f"""SELECT *, row_number() OVER (PARTITION BY patid, concept ORDER BY abs(datediff),
+  CASE WHEN concept IN {_in(C.PREFER_MAX)} THEN -value ELSE value END, datediff) AS place FROM bw WHERE value IS NOT NULL""")
+cte("baseline", "SELECT patid, concept, value, date, datediff FROM ranked WHERE place = 1")
 cte("height", f"SELECT patid, avg(value) AS height FROM clean WHERE concept = 'height' AND date >= {IDX} GROUP BY patid")
 _bio_joins = "".join(
     f"\n  LEFT JOIN (SELECT patid, value AS pre{c}, date AS pre{c}date, datediff AS pre{c}datediff "
@@ -320,6 +317,18 @@ _dur = f"CAST(date_diff('day', dm_diag_date_all, {IDX}) AS DOUBLE) / CAST({C.DAY
 cte("xs_join", """SELECT * FROM cohort_ids LEFT JOIN diabetes_cohort USING (patid) LEFT JOIN biomarkers USING (patid)
   LEFT JOIN stage USING (patid) LEFT JOIN medications USING (patid) LEFT JOIN comorbidities USING (patid)""")
 cte("cross_section", f"SELECT *, {_age} AS index_date_age, {_dur} AS index_date_dm_dur_all FROM xs_join")
+_xs_hosp = """SELECT * FROM cohort_ids LEFT JOIN diabetes_cohort USING (patid) LEFT JOIN biomarkers USING (patid)
+  LEFT JOIN stage USING (patid) LEFT JOIN medications USING (patid) LEFT JOIN comorbidities_hosp USING (patid)"""
+cte("xs_hospital", f"SELECT *, {_age} AS index_date_age, {_dur} AS index_date_dm_dur_all FROM ({_xs_hosp}) x")
+cte("xs_linked", "SELECT * FROM cross_section WHERE patid IN (SELECT patid FROM cohort_ids_linked)")
+CUSTOM_DEFICITS = ["efi_1", "efi_2"]
+cte("efi_custom_n", "SELECT patid, pre_index_date_efi_1, pre_index_date_efi_2, " + ", ".join(
+    f"TRUE AS pre_index_date_{c}" for c in C.EFI_FORCED) + """,
+  CAST(CAST(pre_index_date_efi_1 AS INTEGER) + CAST(pre_index_date_efi_2 AS INTEGER) AS INTEGER) AS efi_n_deficits FROM efi_flags""")
+cte("efi_custom", f"""SELECT *, CAST(efi_n_deficits AS DOUBLE) / {float(C.EFI_DENOMINATOR)} AS pre_index_date_efi_score,
+  CASE WHEN efi_n_deficits < 4.32 THEN 'fit' ELSE 'mild' END AS pre_index_date_efi_cat FROM efi_custom_n""")
+cte("xs_custom", f"""SELECT *, {_age} AS index_date_age, {_dur} AS index_date_dm_dur_all FROM (
+  SELECT * FROM xs_join LEFT JOIN efi_custom USING (patid)) x""")
 cte("xs_join_efi", "SELECT * FROM xs_join LEFT JOIN efi USING (patid)")
 cte("cross_section_efi", f"SELECT *, {_age} AS index_date_age, {_dur} AS index_date_dm_dur_all FROM xs_join_efi")
 

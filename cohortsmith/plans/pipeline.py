@@ -1,8 +1,9 @@
-"""The feature families wired together over a warehouse (lazy: nothing runs until an action).
+"""The feature families wired together over a warehouse.
 
 ``CohortBuild`` holds one index date and derives, on demand, every intermediate and final
-table of the analysis.  Each property is a DataFrame; the same object is reused so that
-Spark sees one plan per table (and can reuse exchanges inside one query).
+table of the analysis.  Each property is a DataFrame.  Properties that are stored tables
+(coded events, clean measurements, features, cross-section, extract) run Spark jobs when first
+read: they write the table unless the same data, code and options have stored it before.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from ..operators import events as E
 from ..operators import features as FT
 from ..operators import measures as M
 from ..sources import codelists as CL
-from ..sources.store import code_digest, materialize
 from ..sources.adapter import Warehouse
+from ..sources.store import code_digest, materialize
 
 
 class CohortBuild:
@@ -33,45 +34,51 @@ class CohortBuild:
     ``spine`` they stay lazy.  ``deficits`` fixes the frailty lists (else found in the catalogue)."""
 
     def __init__(self, wh: Warehouse, index_date: dt.date = C.INDEX_DATE, spine: DataFrame | None = None,
-                 deficits: list[str] | None = None, hospital: bool = False):
+                 deficits: list[str] | None = None, hospital: bool = False, linked_only: bool = False,
+                 version: dt.date = C.VERSION_2024, earlier_version: dt.date = C.VERSION_2021,
+                 creatinine_unit: str = "umol/L", refresh: bool = False):
         """``hospital=True`` adds the (dormant) hospital sources to the comorbidities: ICD-10
         prefix lists (hypertension excluded), OPCS-4 lists, a primary-cause heart-failure
-        concept, and the source-aware validity rule."""
+        concept, and the source-aware validity rule.  ``linked_only=True`` keeps patients with
+        hospital linkage.  ``version`` is the codelist version, ``earlier_version`` the one that
+        comorbidities prefer and drugs use.  ``refresh=True`` writes every stored table anew, once
+        per build."""
         self.wh = wh
         self.index_date = index_date
         self.label = C.period_label(index_date)
         self._spine = spine
         self._deficits = deficits
         self.hospital = hospital
+        self.linked_only = linked_only
+        self.version, self.earlier_version = version, earlier_version
+        self.creatinine_unit = creatinine_unit
+        self.refresh = refresh
 
-    SPINE_DEPENDENT = ("spine", "biomarkers", "stage", "comorbidities", "medications", "efi")
-    SHARED = ("baseline_long", "height", "comorbidity_events", "medication_events", "efi_events",
-              "efi_deficits")
+    def _options(self) -> dict:
+        return {"spine": self._spine, "deficits": self._deficits, "hospital": self.hospital, "linked_only": self.linked_only,
+                "version": self.version, "earlier_version": self.earlier_version, "creatinine_unit": self.creatinine_unit}
+
+    def with_options(self, **changed) -> "CohortBuild":
+        """Same warehouse and index date with other options; what does not depend on them is read
+        from the same stored tables."""
+        return CohortBuild(self.wh, self.index_date, **{**self._options(), **changed})
 
     def with_spine(self, spine: DataFrame) -> "CohortBuild":
         """Same index date and event tables, features attached to another spine."""
-        for name in self.SHARED:
-            getattr(self, name)
-        other = CohortBuild(self.wh, self.index_date, spine, self._deficits, self.hospital)
-        for k, v in self.__dict__.items():
-            if k not in self.SPINE_DEPENDENT and k not in ("_spine", "_stored_tables"):
-                other.__dict__.setdefault(k, v)
-        return other
-
-    def with_hospital(self) -> "CohortBuild":
-        """Same build with the hospital sources switched on (shares the stored event tables)."""
-        other = CohortBuild(self.wh, self.index_date, self._spine, self._deficits, hospital=True)
-        for k in ("tag", "codes_2024", "codes_2021", "comorbidity_codes", "coded_observations"):
-            other.__dict__[k] = getattr(self, k)
-        return other
-
-    def _stored(self, name: str, df: DataFrame, extra: str = "") -> DataFrame:
+        return self.with_options(spine=spine)
+
+    def _keep(self, df: DataFrame, name: str, namespace: str, *options, **how) -> DataFrame:
+        """``df`` stored under a name that holds every input: data version, code, codelist
+        versions, and the options the table depends on."""
+        key = f"{name}_{code_digest(self.wh.version, self.version, self.earlier_version, *options)}"
+        return materialize(df, key, namespace=namespace, refresh=self.refresh, **how)
+
+    def _stored(self, name: str, df: DataFrame, *options) -> DataFrame:
         """Feature tables over the full patient spine are stored once (as the analysis stores each
-        family's final table); tables on a custom spine stay lazy."""
+        family's final table) and have one row per patient; on a custom spine they stay lazy."""
         if self._spine is not None:
             return df
-        key = f"{name}_{self.index_date:%Y%m%d}_{code_digest(self.tag + extra)}"
-        return materialize(df, key, namespace="features")
+        return self._keep(df, f"{name}_{self.index_date:%Y%m%d}", "features", *options, unique="patid")
 
     @cached_property
     def spine(self) -> DataFrame:
@@ -80,16 +87,16 @@ class CohortBuild:
     # -- codelists ----------------------------------------------------------
     @cached_property
     def codes_2024(self) -> DataFrame:
-        return CL.codelist_version(self.wh.codelists, C.VERSION_2024)
+        return CL.codelist_version(self.wh.codelists, self.version)
 
     @cached_property
     def codes_2021(self) -> DataFrame:
-        return CL.codelist_version(self.wh.codelists, C.VERSION_2021)
+        return CL.codelist_version(self.wh.codelists, self.earlier_version)
 
     # -- one scan per event table for every codelist family, stored once -----------
     @cached_property
     def tag(self) -> str:
-        return code_digest(self.wh.sf_dir)
+        return code_digest(self.wh.version, self.version, self.earlier_version)
 
     @cached_property
     def observation_codes(self) -> DataFrame:
@@ -110,9 +117,8 @@ class CohortBuild:
     def coded_observations(self) -> DataFrame:
         """Observations of all needed concepts from a single scan, stored partitioned by family
         (later reads prune to one family; lost executors recompute from the stored copy)."""
-        return materialize(self.coded_observations_plan, f"coded_observations_{self.tag}",
-                           namespace="all_patid", partition_by=["family"],
-                           sort_within=["family", "concept", "date"])
+        return self._keep(self.coded_observations_plan, "coded_observations", "all_patid",
+                          partition_by=["family"], sort_within=["family", "concept", "date"])
 
     @cached_property
     def prescription_codes(self) -> DataFrame:
@@ -131,9 +137,8 @@ class CohortBuild:
 
     @cached_property
     def coded_prescriptions(self) -> DataFrame:
-        return materialize(self.coded_prescriptions_plan, f"coded_prescriptions_{self.tag}",
-                           namespace="all_patid", partition_by=["family"],
-                           sort_within=["family", "concept", "date"])
+        return self._keep(self.coded_prescriptions_plan, "coded_prescriptions", "all_patid",
+                          partition_by=["family"], sort_within=["family", "concept", "date"])
 
     # -- measurements --------------------------------------------------------
     @cached_property
@@ -149,8 +154,7 @@ class CohortBuild:
     @cached_property
     def clean(self) -> DataFrame:
         """Clean measurements, stored: read by the derived measures, baseline and height."""
-        return materialize(self.clean_plan, f"clean_measurements_{self.tag}", namespace="all_patid",
-                           sort_within=["concept", "date"])
+        return self._keep(self.clean_plan, "clean_measurements", "all_patid", sort_within=["concept", "date"])
 
     @cached_property
     def acr_from_separate(self) -> DataFrame:
@@ -158,7 +162,7 @@ class CohortBuild:
 
     @cached_property
     def egfr(self) -> DataFrame:
-        return M.derive_egfr(self.clean, self.wh.dob, self.wh.patient)
+        return M.derive_egfr(self.clean, self.wh.dob, self.wh.patient, unit=self.creatinine_unit)
 
     @cached_property
     def all_measures(self) -> DataFrame:
@@ -169,7 +173,7 @@ class CohortBuild:
     def baseline_long(self) -> DataFrame:
         concepts = C.baseline_concepts() + [C.HBA1C]
         ev = self.all_measures.filter(F.col("concept").isin(concepts))
-        return B.nearest_to_index(ev, self.index_date)
+        return B.nearest_to_index(ev, self.index_date, one_row_per_day=True)  # daily means
 
     @cached_property
     def height(self) -> DataFrame:
@@ -184,7 +188,7 @@ class CohortBuild:
         out = FT.attach(self.spine, wide).join(self.height, "patid", "left")
         hb = ["prehba1c", "prehba1cdate", "prehba1cdatediff"]
         order = [c for c in out.columns if c not in hb and c != "height"] + ["height"] + hb
-        return self._stored("biomarkers", out.select(*order))
+        return self._stored("biomarkers", out.select(*order), self.creatinine_unit)
 
     # -- kidney stage -------------------------------------------------------------
     @cached_property
@@ -194,7 +198,7 @@ class CohortBuild:
     # -- comorbidities ------------------------------------------------------------
     @cached_property
     def comorbidity_codes(self) -> DataFrame:
-        codes = CL.codelist_precedence(self.wh.codelists, [C.VERSION_2021, C.VERSION_2024])
+        codes = CL.codelist_precedence(self.wh.codelists, [self.earlier_version, self.version])
         return E.select_codes(codes, code_system="medcode", concepts=C.COMORBIDITIES)
 
     @cached_property
@@ -212,7 +216,7 @@ class CohortBuild:
         return ([C.PRIMARY_HHF] if self.hospital else []) + C.COMORBIDITIES
 
     @cached_property
-    def comorbidity_events(self) -> DataFrame:
+    def _comorbidity_sources(self) -> DataFrame:
         gp = (self.coded_observations.filter(F.col("family") == "comorbidity")
                   .select("patid", "concept", "date", "code"))
         sources = {"gp": gp}
@@ -222,16 +226,26 @@ class CohortBuild:
             cols = ["patid", "concept", "date", "code"]
             sources["hes_icd10"] = dx.select(*cols).unionByName(primary.select(*cols))
             sources["hes_opcs4"] = self.hospital_procedures
-        tagged = E.tag_sources(sources)
-        return E.restrict_by_source(tagged, self.wh.valid_dates, hospital=self.hospital)
+        return E.tag_sources(sources)
+
+    @cached_property
+    def comorbidity_events(self) -> DataFrame:
+        return E.restrict_by_source(self._comorbidity_sources, self.wh.valid_dates, hospital=self.hospital)
+
+    @cached_property
+    def comorbidity_dates(self) -> DataFrame:
+        """Distinct (patid, concept, date, source) of the comorbidity events: equal rows are
+        combined before the exchange, so a patient with very many rows brings few to the join."""
+        slim = self._comorbidity_sources.select("patid", "concept", "date", "source").distinct()
+        return E.restrict_by_source(slim, self.wh.valid_dates, hospital=self.hospital)
 
     @cached_property
     def comorbidities(self) -> DataFrame:
         df = FT.event_features(
-            self.comorbidity_events, self.spine, self.index_date, self.comorbidity_concepts,
+            self.comorbidity_dates, self.spine, self.index_date, self.comorbidity_concepts,
             earliest="pre_index_date_earliest_{c}", latest="pre_index_date_latest_{c}",
             flag="pre_index_date_{c}", post="post_index_date_first_{c}")
-        return self._stored("comorbidities_hosp" if self.hospital else "comorbidities", df)
+        return self._stored("comorbidities", df, self.hospital)
 
     # -- medications ----------------------------------------------------------------
     def _rx(self, family: str) -> DataFrame:
@@ -255,11 +269,18 @@ class CohortBuild:
     def medication_events(self) -> DataFrame:
         return self.oha_events.unionByName(self.insulin_events).unionByName(self.drug_events)
 
+    @cached_property
+    def medication_dates(self) -> DataFrame:
+        """Distinct (patid, concept, date) of all prescription families from one registration join;
+        insulin has its own end date."""
+        rx = self.coded_prescriptions.filter(F.col("family").isin("drug", "oha", "insulin"))
+        return E.restrict_dates(rx.withColumn("late", F.col("family") == "insulin"), self.wh.valid_dates)
+
     @cached_property
     def medications(self) -> DataFrame:
         lb = self.label
         df = FT.event_features(
-            self.medication_events, self.spine, self.index_date, C.medication_concepts(),
+            self.medication_dates, self.spine, self.index_date, C.medication_concepts(),
             earliest=f"pre_{lb}_earliest_{{c}}", latest=f"pre_{lb}_latest_{{c}}",
             post=f"post_{lb}_first_{{c}}")
         return self._stored("medications", df)
@@ -276,17 +297,18 @@ class CohortBuild:
 
     @cached_property
     def efi_events(self) -> DataFrame:
-        ev = self.coded_observations.filter(F.col("family") == "efi").select("patid", "concept", "date")
-        return E.restrict_to_registration(ev, self.wh.valid_dates)
+        ev = self.coded_observations.filter(F.col("family") == "efi")
+        return E.restrict_dates(ev.withColumn("late", F.lit(False)), self.wh.valid_dates)
 
     @cached_property
     def efi(self) -> DataFrame:
         df = FT.frailty_index(self.efi_events, self.spine, self.index_date, self.efi_deficits)
-        return self._stored("efi", df, extra=",".join(self.efi_deficits))
+        return self._stored("efi", df, tuple(self.efi_deficits))
 
     # -- cohort ---------------------------------------------------------------------------
-    def cohort_ids(self, linked_only: bool = False) -> DataFrame:
-        return CO.prevalent_cohort(self.wh.diabetes_cohort, self.index_date, linked_only=linked_only)
+    def cohort_ids(self, linked_only: bool | None = None) -> DataFrame:
+        linked = self.linked_only if linked_only is None else linked_only
+        return CO.prevalent_cohort(self.wh.diabetes_cohort, self.index_date, linked_only=linked)
 
     def cross_section_plan(self, with_efi: bool = False, on_cohort: bool = False) -> DataFrame:
         """Cohort ids LEFT JOIN the (stored, one-row-per-patient) feature tables.
@@ -300,25 +322,29 @@ class CohortBuild:
             feats.append(src.efi)
         return CO.cross_section(ids, self.wh.diabetes_cohort, feats, self.index_date)
 
+    def _analysis(self, name: str, plan, *options) -> DataFrame:
+        """An analysis table, stored under all options it depends on (lazy on a custom spine)."""
+        held = self.__dict__.setdefault("_held", {})
+        if name not in held:
+            df = plan()
+            held[name] = df if self._spine is not None else self._keep(
+                df, f"{name}_{self.index_date:%Y%m%d}", "analysis", self.hospital, self.linked_only,
+                self.creatinine_unit, *options, unique="patid")
+        return held[name]
+
     def cross_section(self, with_efi: bool = False) -> DataFrame:
         """The cross-section, stored once: the analysis steps downstream read the stored table."""
-        key = "cross_section_efi" if with_efi else "cross_section"
-        stored = self.__dict__.setdefault("_stored_tables", {})
-        if key not in stored:
-            name = f"{key}_{self.index_date:%Y%m%d}_{self.tag}"
-            stored[key] = materialize(self.cross_section_plan(with_efi), name, namespace="analysis")
-        return stored[key]
+        if with_efi:
+            return self._analysis("cross_section_efi", lambda: self.cross_section_plan(True), tuple(self.efi_deficits))
+        return self._analysis("cross_section", self.cross_section_plan)
 
     def analysis_ready(self) -> DataFrame:
         """Flags -> restriction -> complete cases + stage 0 -> pruned columns; stored once (the
         descriptive analysis reads the stored extract)."""
-        stored = self.__dict__.setdefault("_stored_tables", {})
-        if "analysis_ready" not in stored:
+        def plan():
             x = CO.treatment_flags(self.cross_section(), self.label)
-            x = CO.prune_columns(CO.recode_stage_zero(CO.restrict_cohort(x)), self.label)
-            name = f"analysis_ready_{self.index_date:%Y%m%d}_{self.tag}"
-            stored["analysis_ready"] = materialize(x, name, namespace="analysis")
-        return stored["analysis_ready"]
+            return CO.prune_columns(CO.recode_stage_zero(CO.restrict_cohort(x)), self.label)
+        return self._analysis("analysis_ready", plan)
 
     def with_eligibility(self) -> DataFrame:
         return CO.eligibility_flags(self.analysis_ready())

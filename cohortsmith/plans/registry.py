@@ -21,10 +21,10 @@ from ..operators import describe as D
 from ..operators import events as E
 from ..operators import features as FT
 from ..operators import measures as M
-from ..operators.joins import small_side
 from ..session import ensure_store
 from ..sources import codelists as CL
 from ..sources import store as S
+from ..sources import tables as TW
 from ..sources import fixtures as X
 from ..sources.adapter import Warehouse
 from . import oracle as O
@@ -43,20 +43,17 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-_BUILDS: dict[tuple[int, str], CohortBuild] = {}
+_BUILDS: dict[tuple[str, str, str], CohortBuild] = {}  # (application, path, data version)
 
 
 def build_for(spark: SparkSession, sf_dir: str) -> CohortBuild:
-    key = (id(spark), sf_dir)
+    wh = Warehouse(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, wh.version)
     if key not in _BUILDS:
-        _BUILDS[key] = CohortBuild(Warehouse(spark, sf_dir), deficits=X.efi_deficits())
+        _BUILDS[key] = CohortBuild(wh, deficits=X.efi_deficits())
     return _BUILDS[key]
 
 
-def _tag(sf_dir: str) -> str:
-    return S.code_digest(sf_dir)
-
-
 def query(key: str, sql_final: str, doubles=()):
     """Register a Spark query (rounded) with its oracle SQL."""
     sql = O.build(f"SELECT {O.rounded(doubles)} FROM ({sql_final}) AS q")
@@ -140,12 +137,12 @@ def _codelist_tsv(b):
     spark = b.wh.spark
     codes = E.select_codes(b.codes_2024, code_system="medcode", concepts=["potassium"])
     tsv = codes.select(F.col("code").alias("MedCodeId"), F.concat(F.lit("potassium code "), "code").alias("Term"))
-    path = f"{ensure_store(spark).rstrip('/')}/tsv/potassium_{_tag(b.wh.sf_dir)}"
+    path = f"{ensure_store(spark).rstrip('/')}/tsv/potassium_{b.tag}"
     CL.write_codelist_tsv(tsv, path)
     lst = (CL.read_codelist_tsv(spark, path, ["MedCodeId", "Term"])
              .withColumnRenamed("MedCodeId", "medcodeid").select("medcodeid")
              .withColumn("potassium_cat", F.lit(None).cast("string")))
-    return b.wh.observation.join(small_side(lst), "medcodeid").select(
+    return b.wh.observation.join(lst, "medcodeid").select(
         "patid", "obsdate", "medcodeid", "testvalue", "numunitid", "potassium_cat")
 
 
@@ -159,7 +156,7 @@ def _unit_nullsafe_join(b):
     with NULL matching NULL."""
     spark = b.wh.spark
     codes = E.select_codes(b.codes_2024, code_system="medcode", concepts=["potassium"]).select("code")
-    raw = b.wh.observation.join(small_side(codes), F.col("medcodeid") == F.col("code"), "left_semi")
+    raw = b.wh.observation.join(codes, F.col("medcodeid") == F.col("code"), "left_semi")
     raw = raw.filter(F.col("testvalue").between(C.POTASSIUM_LO, C.POTASSIUM_HI))
     units = spark.createDataFrame([(u,) for u in C.POTASSIUM_UNITS], "u int")
     j = raw.join(F.broadcast(units), raw["numunitid"].eqNullSafe(units["u"]))  # fixed 3-row table
@@ -169,7 +166,7 @@ def _unit_nullsafe_join(b):
 @query("materialize_once", "SELECT * FROM raw_meas", ["value"])
 def _materialize_once(b):
     """Coded measurements written once under a name; later calls read the stored table."""
-    return S.materialize(b.raw_measurements, f"raw_measurements_{_tag(b.wh.sf_dir)}", namespace="all_patid")
+    return S.materialize(b.raw_measurements, f"raw_measurements_{b.tag}", namespace="all_patid")
 
 
 _KEYED = ["biomarkers", "stage", "comorbidities", "medications", "efi", "cross_section"]
@@ -194,8 +191,9 @@ def _unique_key_check(b):
 @query("snapshot_roundtrip", "SELECT * FROM stage")
 def _snapshot_roundtrip(b):
     """Stage table written as a dated snapshot and read back by picking the latest stamp."""
-    name = f"ckd_stage_{_tag(b.wh.sf_dir)}"
-    S.write_snapshot(b.stage, name, dt.date.today())
+    name = f"ckd_stage_{b.tag}"
+    S.write_snapshot(b.stage, name, IDX - dt.timedelta(days=30))
+    S.write_snapshot(b.stage, name, IDX)
     return S.read_snapshot(b.wh.spark, name)
 
 
@@ -377,12 +375,12 @@ def _second_value(b):
 
 @query("event_dates", "SELECT * FROM com_long")
 def _event_dates(b):
-    return FT.event_dates(b.comorbidity_events, IDX)
+    return FT.event_dates(b.comorbidity_dates, IDX)
 
 
 @query("event_dates_wide", "SELECT * FROM med_w")
 def _event_dates_wide(b):
-    long = FT.event_dates(b.medication_events, IDX)
+    long = FT.event_dates(b.medication_dates, IDX)
     return FT.to_wide(long, C.medication_concepts(), {
         "earliest_pre": f"pre_{LABEL}_earliest_{{c}}", "latest_pre": f"pre_{LABEL}_latest_{{c}}",
         "first_post": f"post_{LABEL}_first_{{c}}"})
@@ -390,7 +388,7 @@ def _event_dates_wide(b):
 
 @query("event_flags", "SELECT * FROM com_flags")
 def _event_flags(b):
-    return FT.event_flags(b.comorbidity_events, b.spine, IDX, C.COMORBIDITIES)
+    return FT.event_flags(b.comorbidity_dates, b.spine, IDX, C.COMORBIDITIES)
 
 
 @query("comorbidity_features", "SELECT * FROM comorbidities")
@@ -402,7 +400,7 @@ def _comorbidity_features(b):
 def _comorbidity_features_hospital(b):
     """Dormant option: comorbidities from GP and hospital sources (prefix-matched ICD-10,
     OPCS-4, primary-cause heart failure) with the source-aware validity rule."""
-    return b.with_hospital().comorbidities
+    return b.with_options(hospital=True).comorbidities
 
 
 @query("medication_features", "SELECT * FROM medications")
@@ -445,6 +443,30 @@ def _cross_section_efi(b):
     return b.cross_section(with_efi=True)
 
 
+@query("cross_section_hospital", "SELECT * FROM xs_hospital", XS_DOUBLES)
+def _cross_section_hospital(b):
+    """Hospital sources in the cross-section, stored beside the primary-care one."""
+    b.cross_section()
+    return b.with_options(hospital=True).cross_section()
+
+
+@query("cross_section_linked", "SELECT * FROM xs_linked", XS_DOUBLES)
+def _cross_section_linked(b):
+    b.cross_section()
+    return b.with_options(linked_only=True).cross_section()
+
+
+@query("cross_section_custom_efi", "SELECT * FROM xs_custom", XS_DOUBLES + ["pre_index_date_efi_score"])
+def _cross_section_custom_efi(b):
+    b.cross_section(with_efi=True)
+    return b.with_options(deficits=O.CUSTOM_DEFICITS).cross_section(with_efi=True)
+
+
+@query("events_datediff", f"SELECT *, {O._dd('date', O.IDX)} AS datediff FROM com_ev")
+def _events_datediff(b):
+    return E.with_datediff(b.comorbidity_events, IDX)
+
+
 @query("treatment_flags", "SELECT patid, " + ", ".join(CO.TREATMENT_FLAG_COLUMNS) + " FROM flagged", ["uacr"])
 def _treatment_flags(b):
     return CO.treatment_flags(b.cross_section(), LABEL).select("patid", *CO.TREATMENT_FLAG_COLUMNS)
@@ -497,28 +519,53 @@ _long_cat = " UNION ALL ".join(
 _nn = O._in(C.TABLE_ONE_NONNORMAL)
 
 
-@query("table_one_continuous", f"""SELECT stratum, variable, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS sd,
+_cont_sql = f"""SELECT stratum, variable, count(value) AS n, avg(value) AS mean, stddev_samp(value) AS sd,
   CASE WHEN variable IN {_nn} THEN quantile_cont(value, 0.25) END AS p25,
   CASE WHEN variable IN {_nn} THEN quantile_cont(value, 0.5) END AS median,
   CASE WHEN variable IN {_nn} THEN quantile_cont(value, 0.75) END AS p75
-  FROM ({_long_cont}) l GROUP BY stratum, variable""", ["mean", "sd", "p25", "median", "p75"])
+  FROM ({_long_cont}) l GROUP BY stratum, variable"""
+_cat_sql = f"""SELECT stratum, variable, level, n,
+  100.0 * CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY stratum, variable) AS DOUBLE) AS pct FROM (
+  SELECT stratum, variable, value AS level, count(*) AS n FROM ({_long_cat}) l WHERE value IS NOT NULL
+  GROUP BY stratum, variable, value) c"""
+_n_sql = f"SELECT CAST({_S} AS VARCHAR) AS stratum, count(*) AS n FROM eligible WHERE {_S} IS NOT NULL GROUP BY 1"
+
+
+@query("table_one_continuous", _cont_sql, ["mean", "sd", "p25", "median", "p75"])
 def _table_one_continuous(b):
     return D.table_one_continuous(b.with_eligibility(), _CONT, _S, C.TABLE_ONE_NONNORMAL)
 
 
-@query("table_one_categorical", f"""SELECT stratum, variable, level, n,
-  100.0 * CAST(n AS DOUBLE) / CAST(sum(n) OVER (PARTITION BY stratum, variable) AS DOUBLE) AS pct FROM (
-  SELECT stratum, variable, value AS level, count(*) AS n FROM ({_long_cat}) l WHERE value IS NOT NULL
-  GROUP BY stratum, variable, value) c""", ["pct"])
+@query("table_one_categorical", _cat_sql, ["pct"])
 def _table_one_categorical(b):
     return D.table_one_categorical(b.with_eligibility(), C.TABLE_ONE_FACTORS, _S)
 
 
-@query("table_one_n", f"SELECT CAST({_S} AS VARCHAR) AS stratum, count(*) AS n FROM eligible WHERE {_S} IS NOT NULL GROUP BY 1")
+@query("table_one_n", _n_sql)
 def _table_one_n(b):
     return D.table_one_n(b.with_eligibility(), _S)
 
 
+_none = "CAST(NULL AS DOUBLE)"
+
+
+@query("table_one", f"""SELECT 'n' AS part, stratum, CAST(NULL AS VARCHAR) AS variable, CAST(NULL AS VARCHAR) AS level, n,
+    {_none} AS mean, {_none} AS sd, {_none} AS p25, {_none} AS median, {_none} AS p75, {_none} AS pct FROM ({_n_sql}) a
+  UNION ALL SELECT 'continuous', stratum, variable, NULL, n, mean, sd, p25, median, p75, NULL FROM ({_cont_sql}) b
+  UNION ALL SELECT 'categorical', stratum, variable, level, n, NULL, NULL, NULL, NULL, NULL, pct FROM ({_cat_sql}) c""",
+       ["mean", "sd", "p25", "median", "p75", "pct"])
+def _table_one(b):
+    return D.table_one(b.with_eligibility(), C.TABLE_ONE_VARS, _S, factors=C.TABLE_ONE_FACTORS, nonnormal=C.TABLE_ONE_NONNORMAL)
+
+
+@query("warehouse_tables_roundtrip", "SELECT * FROM biomarkers", BIO_VALUES)
+def _warehouse_tables_roundtrip(b):
+    """Every domain table written to Parquet, read back by name through ``TableWarehouse`` with
+    its declared schema, and the biomarker features built from those tables."""
+    paths = TW.write_tables(b.wh, f"{ensure_store(b.wh.spark).rstrip('/')}/warehouse/{b.tag}")
+    return CohortBuild(TW.TableWarehouse(b.wh.spark, paths), deficits=X.efi_deficits()).biomarkers
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

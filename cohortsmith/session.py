@@ -21,6 +21,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # registration join and per-patient aggregate share one partitioning on patid; split a hot
+    # patient there even though the aggregate then needs one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.shuffle.partitions": "8",
     # stored tables are partitioned by a handful of values (e.g. codelist family): write them
     # concurrently instead of sorting every task's rows by the partition column first
@@ -36,6 +39,7 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.shuffle.partitions": "20000",
@@ -50,7 +54,8 @@ def build_session(master: str | None = None, app: str = "cohortsmith", conf: dic
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULTS, **(conf or {})}.items():
+    cluster = {} if master is None or master.startswith("local") else CLUSTER_CONF
+    for k, v in {**DEFAULTS, **cluster, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

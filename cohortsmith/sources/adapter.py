@@ -7,9 +7,8 @@ collect) from the driver-generated parquet by deterministic arithmetic
 rules, so that every operator can be run at any scale factor and checked
 against DuckDB running the same rules (``cohortsmith.plans.oracle``).
 
-``k`` below is ``c_custkey``.  A production deployment replaces this module
-with plain ``spark.table(...)`` reads of the real warehouse tables; the
-operators only depend on the column contracts documented per method.
+``k`` below is ``c_custkey``.  Real warehouse tables are read by
+``cohortsmith.sources.tables.TableWarehouse``, which has the same attributes.
 """
 
 from __future__ import annotations
@@ -22,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from . import fixtures as X
+from .store import code_digest, files_digest, materialize
 
 
 def _d(y: int, m: int, d: int) -> Column:
@@ -52,25 +52,17 @@ class Warehouse:
         warehouse would hold them; the name carries the data directory and a code digest."""
         if not self.store_lookups:
             return df
-        from .store import materialize, code_digest
-        tag = code_digest(self.sf_dir)
-        return materialize(df, f"{name}_{tag}", namespace="lookups")
-
-    def raw(self, name: str, spread_by: str | None = None) -> DataFrame:
-        """Read a driver table.  ``spread_by``: an input stored as fewer splits than the default
-        parallelism (e.g. one row group) is hash-spread over the cores on that (unique, skew-free)
-        key, so the map side of the plan is not a single task; hashing is deterministic without
-        the sort a round-robin spread needs.  With a many-file input this is a no-op."""
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        if spread_by:
-            try:
-                target = self.spark.sparkContext.defaultParallelism
-                splits = df.rdd.getNumPartitions()
-            except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the scan as is
-                return df
-            if splits < target:
-                df = df.repartition(target, spread_by)
-        return df
+        return materialize(df, f"{name}_{code_digest(self.version)}", namespace="lookups")
+
+    TABLES = ("customer", "orders", "lineitem", "part")
+
+    @cached_property
+    def version(self) -> str:
+        """Changes with the path and with the files of the tables read."""
+        return files_digest(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in self.TABLES])
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # -- patients -----------------------------------------------------------
     @cached_property
@@ -145,7 +137,7 @@ class Warehouse:
     # -- events ---------------------------------------------------------------
     @cached_property
     def _lines(self) -> DataFrame:
-        li = self.raw("lineitem", spread_by="l_orderkey").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        li = self.raw("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                          "l_quantity", "l_shipdate")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         return li.join(o, li.l_orderkey == o.o_orderkey)
@@ -217,6 +209,7 @@ class Warehouse:
         meas = rows(p, v24, _case(F.col("p_type"), [(t, c) for t, c, _ in X.TYPE_CONCEPT]), "medcode")
         extra = rows(p.filter(F.col("p_size") % 10 < len(X.SIZE_CONCEPT)), v24,
                      _case(F.col("p_size") % 10, X.SIZE_CONCEPT), "medcode")
+        third = rows(p.filter(F.col("p_partkey") % X.THIRD_EVERY == 0), v24, F.lit(X.THIRD_CONCEPT), "medcode")
         brands = self.spark.createDataFrame(X.comorbidity_brands(), "concept string, cb int")
         dx = p.join(F.broadcast(brands), p.brand == brands.cb)  # fixed 43-row config table
         dx24 = rows(dx, v24, F.col("concept"), "medcode")
@@ -236,7 +229,7 @@ class Warehouse:
             + [(C.VERSION_2024, c, "opcs4", code) for c, code in X.opcs4_rows()],
             "version date, concept string, code_system string, code string")
         out = meas
-        for df in [extra, dx24, dx21, efi, *forced, drug24, drug21, fixed]:
+        for df in [extra, third, dx24, dx21, efi, *forced, drug24, drug21, fixed]:
             out = out.unionByName(df)
         return self._lookup(out, "codelists")
 
@@ -244,8 +237,8 @@ class Warehouse:
     def drug_class_lookup(self) -> DataFrame:
         """prodcodeid, drug_class_1, drug_substance_2 (glp1 only), INS int."""
         p = self._parts
-        cls = _case(F.col("p_size") % 8, list(enumerate(X.OHA_CLASS_BY_SIZE)))
-        sub = F.when(cls == "glp1", _case(F.col("p_partkey") % 3, list(enumerate(X.SEMA_BY_KEY))))
+        cls = _case(F.col("p_size") % len(X.OHA_CLASS_BY_SIZE), list(enumerate(X.OHA_CLASS_BY_SIZE)))
+        sub = F.when(cls == "glp1", _case(F.col("p_partkey") % len(X.SEMA_BY_KEY), list(enumerate(X.SEMA_BY_KEY))))
         ins = ((cls == "glp1") & (F.col("p_partkey") % 5 == 0)).cast("int")
         return self._lookup(p.select(F.col("code").alias("prodcodeid"), cls.alias("drug_class_1"),
                                      sub.alias("drug_substance_2"), ins.alias("INS")), "drug_class_lookup")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import small_side
 
 
 def codelist_version(codelists: DataFrame, version) -> DataFrame:
@@ -36,7 +35,7 @@ def codelist_precedence(codelists: DataFrame, versions) -> DataFrame:
                         .select("concept", rank.alias("_rank")).distinct())
     first = present.groupBy("concept").agg(F.min("_rank").alias("_rank"))
     ranked = codelists.withColumn("_rank", rank)
-    return ranked.join(small_side(first), ["concept", "_rank"]).drop("_rank")
+    return ranked.join(first, ["concept", "_rank"]).drop("_rank")
 
 
 def duplicate_codes(codelists: DataFrame) -> DataFrame:

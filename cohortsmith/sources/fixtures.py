@@ -22,7 +22,11 @@ TYPE_CONCEPT = [
 ]
 
 # p_size % 10 -> a second measurement concept on the same code (a code may sit in two lists).
-SIZE_CONCEPT = [(0, "sbp"), (1, "dbp"), (2, "bmi"), (3, "height"), (4, "weight")]
+SIZE_CONCEPT = [(0, "sbp"), (1, "dbp"), (2, "bmi"), (3, "height"), (4, "weight"), (5, "hdl"),
+                (6, "triglyceride"), (7, "ldl"), (8, "alt"), (9, "ast")]
+
+# Every so many-th p_partkey -> a third measurement concept on the same code.
+THIRD_EVERY, THIRD_CONCEPT = 3, "totalcholesterol"
 
 # p_partkey % 7 -> prescription concept (prodcode lists); insulin only in the 2024 version.
 DRUG_CODE = [(0, "ace_inhibitors"), (1, "arb"), (2, "ksparing_diuretics"), (3, "finerenone"),
@@ -93,5 +97,6 @@ def opcs4_rows() -> list[tuple[str, str]]:
     return rows
 
 
-OHA_CLASS_BY_SIZE = ["dpp4", "glp1", "mfn", "sglt2", "su", "tzd", "glinide", "insulin"]  # p_size % 8
-SEMA_BY_KEY = ["ldsema", "hdsema", "osema"]  # p_partkey % 3, glp1 only
+OHA_CLASS_BY_SIZE = ["dpp4", "glp1", "mfn", "sglt2", "su", "tzd", "glinide", "insulin",
+                     "acarbose", "gipglp1"]  # p_size % 10
+SEMA_BY_KEY = ["ldsema", "hdsema", "osema", "sema_query"]  # p_partkey % 4, glp1 only

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import threading
+import time
+import uuid
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -14,41 +16,75 @@ from pyspark.sql import functions as F
 from ..session import ensure_store
 
 
-def code_digest(extra: str = "") -> str:
-    """Digest of ``extra`` and the package source: stored tables written by other code or for
+#: The modules whose code decides what a stored cohort table holds.
+_CODE = ("config.py", "functions", "operators", "plans", "sources")
+
+
+def code_digest(*extra) -> str:
+    """Digest of ``extra`` and of the cohort code: stored tables written by other code or for
     other inputs are never picked up by name."""
-    h = hashlib.sha1(extra.encode())
-    for p in sorted(Path(__file__).resolve().parents[1].rglob("*.py")):
+    h = hashlib.sha1(repr(extra).encode())
+    root = Path(__file__).resolve().parents[1]
+    for p in sorted(f for c in _CODE for f in ([root / c] if c.endswith(".py") else (root / c).rglob("*.py"))):
         h.update(p.read_bytes())
     return h.hexdigest()[:12]
 
 
+def files_digest(spark: SparkSession, paths) -> str:
+    """Digest of the names, sizes and times of all files under ``paths`` (any file system that
+    Spark reads): new data at an old path gives a new digest.  Lists files, reads none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(conf)
+        if not fs.exists(p):
+            continue
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            name = f.getPath().toString()
+            if not f.getPath().getName().startswith((".", "_")):
+                found.append((name, f.getLen(), f.getModificationTime()))
+    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:12]
+
+
 def table_path(spark: SparkSession, namespace: str, name: str) -> str:
     return f"{ensure_store(spark).rstrip('/')}/tables/{namespace}/{name}"
 
 
-def _marker(path: str) -> str:
-    return f"{path}.committed"
+def _commits(path: str) -> str:
+    return f"{path}/commits"
+
+
+_READ: dict[tuple[str, str], str] = {}  # (application, path) -> version this application reads
 
 
 def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | None:
-    """The stored table, or None.  A table counts as stored only when its commit marker (a tiny
-    dataset written after the data) exists, so a folder left by an interrupted job is rewritten."""
+    """The stored table, or None.  A table is a set of versions and a log of commits; the last
+    commit names the version to read, so a version that was never finished is never seen."""
     path = table_path(spark, namespace, name)
-    try:
-        spark.read.parquet(_marker(path))
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READ:
+        try:
+            last = spark.read.schema("seq long, version string").parquet(_commits(path)).orderBy(F.desc("seq"), "version").first()
+        except AnalysisException:
+            return None
+        if last is None:
+            return None
+        _READ[key] = last["version"]
+    return spark.read.parquet(f"{path}/{_READ[key]}")
 
 
 def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh: bool = False,
-                partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, sort_within: list[str] | None = None,
+                unique: str | None = None) -> DataFrame:
     """Write ``df`` once under namespace/name and return the stored table.
 
     A later call with the same name returns the stored table without evaluating ``df``
-    again (``refresh=True`` rewrites it).  The stored copy cuts the lineage, so lost
-    executors recompute from it rather than from the raw scans.
+    again; ``refresh=True`` writes a new version.  A version is written beside the old ones and
+    becomes current by one appended commit row, so a write that fails leaves the old version in
+    place.  ``unique`` names a key that must be unique, checked before the commit.
     ``sort_within`` orders rows inside each task before writing (no shuffle), so Parquet min/max
     statistics let later filters on those columns skip row groups."""
     spark = df.sparkSession
@@ -58,7 +94,7 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
             got = read_stored(spark, namespace, name)
             if got is not None:
                 return got
-        return _write(df, path, name, partition_by, sort_within)
+        return _write(df, path, partition_by, sort_within, unique)
 
 
 _LOCKS: dict[str, threading.Lock] = {}
@@ -70,16 +106,21 @@ def _lock_for(path: str) -> threading.Lock:
         return _LOCKS.setdefault(path, threading.Lock())
 
 
-def _write(df: DataFrame, path: str, name: str, partition_by, sort_within) -> DataFrame:
+def _write(df: DataFrame, path: str, partition_by, sort_within, unique) -> DataFrame:
     spark = df.sparkSession
+    version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite")
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark.createDataFrame([(name,)], "name string").write.mode("overwrite").parquet(_marker(path))
-    return spark.read.parquet(path)
+    w.parquet(f"{path}/{version}")
+    stored = spark.read.parquet(f"{path}/{version}")
+    if unique:
+        assert_unique_key(stored, unique)
+    spark.createDataFrame([(time.time_ns(), version)], "seq long, version string").coalesce(1).write.mode("append").parquet(_commits(path))
+    _READ[(spark.sparkContext.applicationId, path)] = version
+    return stored
 
 
 def write_snapshot(df: DataFrame, name: str, stamp: dt.date, *, namespace: str = "snapshots") -> str:
