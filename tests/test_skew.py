@@ -59,3 +59,32 @@ def test_hot_patient_reductions_exact(skewed):
     dates = [r.date for r in daily.filter("patid = 'hot'").collect()]
     assert hot.earliest_pre == min(d for d in dates if d <= idx)
     assert hot.first_post == min(d for d in dates if d > idx)
+
+
+def _shape(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_feature_dates_are_combined_before_the_registration_join(skewed):
+    """Equal rows go before the exchange: the join sees one row per concept and day, so a patient
+    with a third of all rows brings no more than its days."""
+    ev, valid, n = skewed
+    many = ev.filter("patid = 'hot'")
+    for _ in range(3):
+        many = many.unionByName(many)
+    many = many.unionByName(ev).withColumn("late", F.lit(False))
+    dates = E.restrict_dates(many, valid.withColumn("gp_ons_end_date", F.col("gp_end_date")))
+    rows = dates.collect()
+    want = ev.filter(F.col("date") >= dt.date(2001, 1, 1)).select("patid", "concept", "date").distinct()
+    assert len(rows) == want.count()
+    hot = sum(r.patid == "hot" for r in rows)
+    assert hot == want.filter("patid = 'hot'").count() < len(rows) / 4
+    plan = _shape(dates)  # the join reads the distinct rows, and they were made in two steps
+    assert plan.count("HashAggregate(keys=[patid") >= 2 and plan.index("SortMergeJoin") < plan.index("HashAggregate(keys=[patid")
+
+
+def test_feature_aggregate_splits_a_hot_patient(skewed):
+    ev, valid, n = skewed
+    df = FT.event_dates(E.restrict_to_registration(ev, valid), dt.date(2004, 1, 1))
+    df.collect()
+    assert "skew=true" in _shape(df)
