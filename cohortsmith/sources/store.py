@@ -109,6 +109,8 @@ def _lock_for(path: str) -> threading.Lock:
 def _write(df: DataFrame, path: str, partition_by, sort_within, unique) -> DataFrame:
     spark = df.sparkSession
     version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    if partition_by:  # files of the advisory size per value, not one per value and input task
+        df = df.hint("rebalance", *partition_by)
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
     w = df.write
