@@ -38,6 +38,21 @@ def fold_of(doc_id, n: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % n
 
 
+HEAVY_PART = 10_000
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group (one row per ``key``, its row count in ``size``).
+
+    Groups of more than a 10,000th of all ``total`` rows are at most 10,000, so they are broadcast
+    and their rows stay where they are; the rows of all others meet their group in a shuffle, in
+    which no key has more than that part of the rows."""
+    heavy = F.broadcast(groups.filter(F.col(size) * HEAVY_PART > total))
+    light = groups.filter(F.col(size) * HEAVY_PART <= total)
+    others = rows.join(heavy.select(key), key, "left_anti").join(light, key)
+    return rows.join(heavy, key).unionByName(others)
+
+
 def matching_rows(docs: DataFrame, key: Column, keep: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose (doc_id, key) is in ``keep`` (doc_id, key[, times]), with all
     their columns whatever their names; of repeated rows one, ``times`` times if given.

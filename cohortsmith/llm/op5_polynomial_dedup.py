@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import matching_rows, stored, whole_text
+from .common import join_groups, matching_rows, stored, whole_text
 
 PRIME = (1 << 31) - 1
 BASES = (1_103_515_243, 1_664_525_021, 754_077_413, 1_903_815_317)
@@ -86,11 +86,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                       .alias("fingerprint")))
 
 
-def refuted(docs: DataFrame, prints: DataFrame) -> DataFrame:
+def refuted(docs: DataFrame, prints: DataFrame, total: int) -> DataFrame:
     """Fingerprints that join different texts, by comparing all chunks of equal fingerprints."""
-    shared = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("fingerprint")
-    members = (prints.join(shared, "fingerprint").select("doc_id", "text_sha256", "fingerprint").distinct()
-                     .withColumnsRenamed({"doc_id": "_d", "text_sha256": "_s"}))
+    shared = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = prints.select(F.col("doc_id").alias("_d"), F.col("text_sha256").alias("_s"), "fingerprint").distinct()
+    members = join_groups(rows, shared, "fingerprint", "n", total).drop("n")
     t = docs.select("doc_id", normalised().alias("t"))
     t = t.select("doc_id", F.sha2("t", 256).alias("s"), F.octet_length("t").cast("long").alias("n"),
                  F.col("t").cast("binary").alias("raw"))
@@ -104,12 +104,13 @@ def refuted(docs: DataFrame, prints: DataFrame) -> DataFrame:
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256, fingerprint."""
     prints = stored(fingerprints(docs), "fingerprints")
-    bad = refuted(docs, prints).withColumn("_bad", F.lit(True))
+    total = prints.count()
+    bad = refuted(docs, prints, total).withColumn("_bad", F.lit(True))
     rows = prints.join(bad, "fingerprint", "left").withColumn(
         "_class", F.when(F.col("_bad"), F.concat_ws("-", "fingerprint", "text_sha256")).otherwise(F.col("fingerprint")))
     groups = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("group_size"),
                                         F.max(F.struct("doc_id", "row_id")).alias("_top"))
-    return rows.join(groups, "_class").select(
+    return join_groups(rows, groups, "_class", "group_size", total).select(
         "doc_id", F.col("_top.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("_top.row_id")).alias("kept"), "text_sha256", "fingerprint")
 
