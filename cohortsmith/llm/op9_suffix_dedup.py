@@ -19,6 +19,10 @@ these anchors share at least the 200 bytes that follow.
    give the groups of anchors that share 200 bytes.
 4. Within these groups, the windows that occur twice are found by rolling hashes, which settles
    the exact borders; a window's bytes go back to its document as an interval.
+5. A prefix met more than ``HOT`` times would make one bucket large.  Its anchors (marked in a
+   second bitmap) leave the merge: their windows are hashed one by one to 128 bits and counted by
+   Spark, whose aggregate combines on the map side, so no group meets in one task.  Both ways are
+   exact, so a false mark costs time only.
 
 Defined cases: null text counts as empty; texts under 400 bytes keep all; matches never cross
 documents but do lie within one, overlaps included; repeated rows are repeats of each other; an
@@ -34,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frames, stored, whole_text
+from .common import frames, join_groups, stored, whole_text
 
 LENGTH = 400
 REACH = LENGTH // 2
@@ -42,6 +46,7 @@ GRAM = 8
 BLOCK = 1 << 20
 PLACE_BITS = 21  # places in a block and the window after it
 BITMAP_BITS = 1 << 27
+HOT, HOT_BITS = 50_000, 1 << 24
 _A, _B = 0x9E3779B97F4A7C15 | 1, np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -230,20 +235,62 @@ def _counts(it):
     for pdf in frames(it):
         found = [np.fromiter((g for g, *_ in anchors(t.encode("utf-8"))), np.int64) for t in pdf["text"] if len(t) * 4 >= LENGTH]
         g, c = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.minimum(c, 2))], names=["g", "c"])
+        yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], names=["g", "c"])
 
 
-def _runs(bitmap, buckets: int):
+def _bitmap(prefixes: DataFrame, size: int) -> np.ndarray:
+    """One bit per prefix hash modulo ``size``, in 32-bit words: all that the driver holds."""
+    bit = F.pmod("g", F.lit(size))
+    words = (prefixes.groupBy(F.shiftright(bit, 5).alias("w"))
+                     .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))).alias("v")).toPandas())
+    bits = np.zeros(size // 32, np.uint32)
+    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    return bits
+
+
+def _marked(bits: np.ndarray, g: int) -> int:
+    k = g % (len(bits) * 32)
+    return int(bits[k >> 5]) >> (k & 31) & 1
+
+
+_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64())])
+
+
+def _windows(hot):
+    """(128-bit hash, document, start) of the windows of hot anchors."""
     def run(it):
-        bits = bitmap.value
+        marks = hot.value
+        for pdf in frames(it):
+            rows = []
+            for doc_id, h, text in zip(pdf["doc_id"], pdf["h"].tolist(), pdf["text"]):
+                data = text.encode("utf-8")
+                for g, _, s1, s2 in anchors(data):
+                    if _marked(marks, g):
+                        for s in range(s1, s2 + 1):
+                            w = np.frombuffer(xxhash.xxh3_128_digest(data[s:s + LENGTH]), np.int64)
+                            rows.append((int(w[0]), int(w[1]), None if pd.isna(doc_id) else int(doc_id), h, s))
+                if len(rows) > 100_000:
+                    yield _rows(rows, _WINDOWS)
+                    rows = []
+            yield _rows(rows, _WINDOWS)
+    return run
+
+
+def _rows(rows: list[tuple], schema) -> pa.RecordBatch:
+    cols = list(zip(*rows)) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
+
+
+def _runs(bitmap, hot, buckets: int):
+    def run(it):
+        bits, marks = bitmap.value, hot.value
         for pdf in frames(it):
             segments: dict[int, dict] = {}
             ids = [None if pd.isna(d) else int(d) for d in pdf["doc_id"]]
             for doc_id, h, text in zip(ids, pdf["h"].tolist(), pdf["text"]):
                 data = text.encode("utf-8")
                 for g, p, s1, s2 in anchors(data):
-                    k = g % BITMAP_BITS
-                    if bits[k >> 5] >> (k & 31) & 1:
+                    if _marked(bits, g) and not _marked(marks, g):
                         segments.setdefault(g % buckets, {}).setdefault((data[p:s2 + LENGTH], data[s1:p]), []).append((doc_id, h, s1))
             rows = []
             for bucket, found in segments.items():
@@ -251,8 +298,7 @@ def _runs(bitmap, buckets: int):
                 shared, rest = front_coded([k[0] for k in keys])
                 occ = [found[k] for k in keys]
                 rows.append((bucket, shared, rest, [k[1] for k in keys], *[[[o[j] for o in x] for x in occ] for j in range(3)]))
-            cols = list(zip(*rows)) if rows else [[] for _ in _RUN]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, _RUN)], schema=_RUN)
+            yield _rows(rows, _RUN)
     return run
 
 
@@ -289,15 +335,23 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), start, end: byte intervals of repeated 400-byte strings."""
     spark = docs.sparkSession
     t = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
-    twice = t.select("text").mapInArrow(_counts, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).filter("c > 1")
-    bit = F.pmod("g", F.lit(BITMAP_BITS))
-    words = (twice.groupBy(F.shiftright(bit, 5).alias("w"))
-                  .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))).alias("v")).toPandas())
-    bits = np.zeros(BITMAP_BITS // 32, np.uint32)  # the fixed-size bitmap is all that the driver holds
-    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
+    met = t.select("text").mapInArrow(_counts, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).filter("c > 1")
+    met = stored(met, "prefixes")
+    bits = spark.sparkContext.broadcast(_bitmap(met, BITMAP_BITS))
+    often = met.filter(F.col("c") > HOT)
+    marks = _bitmap(often, HOT_BITS)
+    hot = spark.sparkContext.broadcast(marks)
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    runs = t.withColumn("h", F.xxhash64("text")).mapInArrow(_runs(spark.sparkContext.broadcast(bits), buckets), _RUN_SQL)
-    return runs.groupBy("bucket").applyInPandas(_merge, "doc_id long, h long, start long, end long")
+    t = t.withColumn("h", F.xxhash64("text"))
+    runs = t.mapInArrow(_runs(bits, hot, buckets), _RUN_SQL)
+    spans = runs.groupBy("bucket").applyInPandas(_merge, "doc_id long, h long, start long, end long")
+    if not marks.any():
+        return spans
+    windows = stored(t.mapInArrow(_windows(hot), "w1 long, w2 long, doc_id long, h long, start long"), "hot-windows")
+    counts = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    key = F.struct("w1", "w2")
+    again = join_groups(windows.withColumn("w", key), counts.select(key.alias("w"), "n"), "w", "n", windows.count())
+    return spans.unionByName(again.select("doc_id", "h", "start", (F.col("start") + LENGTH).alias("end")))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:

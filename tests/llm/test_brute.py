@@ -18,7 +18,7 @@ from cohortsmith.llm import op6_order_minhash as op6
 from cohortsmith.llm import op7_retrieval_packing as op7
 from cohortsmith.llm import op8_feistel_shards as op8
 from cohortsmith.llm import op9_suffix_dedup as op9
-from cohortsmith.llm import queries
+from cohortsmith.llm import common, queries
 from cohortsmith.llm.common import fold, fold_of, numbered, read
 from cohortsmith.llm.components import components
 from cohortsmith.llm.op2_chat_format import LAYOUTS, canonical_json, canonical_turns, layout_of
@@ -81,6 +81,14 @@ def test_numbered_is_gapless(spark):
     assert [x for _, x in sorted(got)] == sorted(x for _, x in got)
 
 
+def test_heavy_and_light_groups_join_alike(spark, monkeypatch):
+    rows = spark.range(1000).select((F.when(F.col("id") < 400, 0).otherwise(F.col("id"))).alias("k"), "id")
+    groups = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    monkeypatch.setattr(common, "HEAVY_PART", 10)
+    got = common.join_groups(rows, groups, "k", "n", 1000)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(groups, "k").collect()))
+
+
 def test_fold(spark):
     rows = spark.range(50).select("id", fold("id", 4).alias("f")).collect()
     assert all(r["f"] == fold_of(r["id"], 4) for r in rows)
@@ -298,8 +306,10 @@ def repeats_by_hand(texts):
     return cover
 
 
-def test_substring_removal_equals_brute_force(spark, texts, monkeypatch):
+@pytest.mark.parametrize("hot", [50_000, 3, 1])
+def test_substring_removal_equals_brute_force(spark, texts, monkeypatch, hot):
     monkeypatch.setattr(op9, "BLOCK", 1000)  # windows of one text in many blocks
+    monkeypatch.setattr(op9, "HOT", hot)  # prefixes counted by windows instead of merged: none, some, all
     all_ = {**{i: t for i, t in texts.items() if i < 60}, **{10_000 + i: t for i, t in enumerate(planted())}}
     d = spark.createDataFrame(list(all_.items()), "doc_id long, text string")
     raw = {i: t.encode() for i, t in all_.items()}
