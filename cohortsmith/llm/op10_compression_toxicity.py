@@ -8,9 +8,10 @@ Fitting, on a bounded sample of labelled rows (``MOST_TOXIC``, ``MOST_ORDINARY``
 2. the ordinary dictionary holds the commonest words of ordinary documents; the toxic dictionary
    holds the same behind the commonest marked runs of toxic documents, so both compress plain
    prose alike and differ where text reads like the toxic class;
-3. a document's windows are compressed with both; the bytes that the toxic dictionary saves, in
-   all by length, at most in a window, and shrunk by length, are calibrated to a probability by
-   logistic regression on the sample, weighted to the class shares of all training labels.
+3. a document's windows, of three sizes, are compressed with both; the bytes that the toxic
+   dictionary saves, in all by length, at most in a window, and shrunk by length, are calibrated
+   to a probability by logistic regression on the sample, weighted to the class shares of all
+   training labels.
 
 Scoring compresses every window of every whole text.  Defined cases: null and empty text has no
 window and scores as text that saves nothing; with no label of one class the score is constant;
@@ -31,11 +32,11 @@ from .common import frames, stored, whole_text
 from .labelled import bounded, class_counts, training_labels
 
 GRAM = 6
-WINDOW = 1024
+WINDOWS = (256, 1024, 4096)
 LEAST_Z = 6.5
 LEAST_DOCS = 5
 MOST_TOXIC, MOST_ORDINARY = 3000, 6000
-MOST_GRAMS, MOST_RUNS, MOST_WORDS = 5000, 600, 80
+MOST_GRAMS, MOST_RUNS, MOST_WORDS = 5000, 600, 200
 FOLDS, HELD_OUT = 5, 0
 #: Lower-cased bytes: ASCII letters and all bytes of longer characters stay, the rest are blanks.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -93,11 +94,11 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
         content, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
 
 
-def windows(b: bytes) -> list[bytes]:
-    """Stretches of up to ``WINDOW`` bytes, cut at blanks where there are any."""
+def windows(b: bytes, size: int) -> list[bytes]:
+    """Stretches of up to ``size`` bytes, cut at blanks where there are any."""
     out, i = [], 0
     while i < len(b):
-        end = i + WINDOW
+        end = i + size
         if end < len(b):
             at = b.rfind(b" ", i + 1, end)
             end = at if at > i else end
@@ -107,13 +108,17 @@ def windows(b: bytes) -> list[bytes]:
 
 
 def saved(b: bytes, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCompressor) -> list[float]:
-    """Bytes the toxic dictionary saves: per 1000 bytes, most in a window, per 1000 bytes shrunk."""
-    w = windows(b)
+    """Bytes the toxic dictionary saves, by window size: per 1000 bytes, most in a window, per
+    1000 bytes shrunk."""
     if len(b) <= 2:
-        return [0.0, 0.0, 0.0]
-    less = np.array([len(x) for x in ordinary.multi_compress_to_buffer(w)]) - np.array([len(x) for x in toxic.multi_compress_to_buffer(w)])
-    total = float(less.sum())
-    return [1000 * total / len(b), float(less.max()), 1000 * total / (len(b) + 2000)]
+        return [0.0] * (3 * len(WINDOWS))
+    out = []
+    for size in WINDOWS:
+        w = windows(b, size)
+        less = [len(x) - len(y) for x, y in zip(ordinary.multi_compress_to_buffer(w), toxic.multi_compress_to_buffer(w))]
+        total = sum(less)
+        out += [1000 * total / len(b), float(max(less)), 1000 * total / (len(b) + 2000)]
+    return out
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -131,7 +136,8 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
 
 
 def clipped(x: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.clip(x[:, 0], -20, 40), np.clip(x[:, 1], -10, 60), np.clip(x[:, 2], -20, 40)])
+    """Features as the regression takes them: within bounds that no single document can leave."""
+    return np.clip(x.reshape(-1, 3 * len(WINDOWS)), np.tile([-20, -10, -20], len(WINDOWS)), np.tile([40, 60, 40], len(WINDOWS)))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
@@ -141,7 +147,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     if not n.get(1) or not n.get(0):
         return {"constant": 1.0 if n.get(1) else 0.0}
     sample = bounded(train, F.col("y") == 1, MOST_TOXIC).unionByName(bounded(train, F.col("y") != 1, MOST_ORDINARY))
-    texts = stored(docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id"), "toxic-sample")
+    texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = stored(texts.groupBy("text", "y").agg(F.min("doc_id").alias("doc_id")), "toxic-sample")  # copies count once
     size = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
@@ -186,7 +193,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     rows = texts.select("y", _features(model)("text").alias("f")).collect()
     x, y = clipped(np.array([r["f"] for r in rows], float)), np.array([r["y"] for r in rows], float)
     weight = np.where(y == 1, n[1] / n1, n[0] / n0) * len(y) / (n[1] + n[0])
-    return model | {"w": logistic(x, y, weight)}
+    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    w = logistic((x - mean) / spread, y, weight)
+    slope = w[:-1] / spread
+    return model | {"w": np.append(slope, w[-1] - slope @ mean)}
 
 
 def _batch(pdf: pd.DataFrame):
@@ -214,7 +224,7 @@ def scorer(model: dict):
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         o, t = compressor(ordinary), compressor(toxic)
-        x = clipped(np.array([saved(plain(x), o, t) for x in texts], float).reshape(-1, 3))
+        x = clipped(np.array([saved(plain(x), o, t) for x in texts], float))
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30))))
 
     return score
