@@ -10,12 +10,14 @@ most (m1 + m2) / 9 shingles, which is the width of the band it is sought in.
 Candidates, without all pairs of any bucket:
 
 * equal sequences are one key, whatever the number of copies;
-* every key is aligned with one leader, the least key it shares a bucket with, which joins the
-  bulk of each group at one pair per key;
+* every key is aligned with one leader, of the keys it shares buckets with the one whose buckets
+  hold most (the original of a group of copies, as a rule), which joins the bulk of each group at
+  one pair per key;
 * in every bucket, keys that are not in the leader's class are then paired with the keys of other
-  classes there, where lengths and shingle histograms (an exact bound on the matches) allow a
-  link.  So no two keys that share a bucket and could be linked stay untested unless they are in
-  one class already.
+  classes there, where lengths and shingle histograms of 32 and 256 bins (exact bounds on the
+  matches: a difference in a bin is a shingle that no alignment can match) allow a link.  So no
+  two keys that share a bucket and could be linked stay untested unless they are in one class
+  already.
 
 Classes are the connected components of the links.  Defined cases: null text counts as empty;
 texts without words are one class; texts under five words are one shingle; of a class the row
@@ -34,12 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import frames, matching_rows, stored, whole_text
+from .common import frames, join_groups, matching_rows, stored, whole_text
 from .components import components
 
 WORDS = 5
 BANDS, SAMPLE = 20, 4
-BINS = 32
+BINS, FEW, MOST_IN_BIN = 256, 32, 127
 NUM, DEN = 4, 5  # similarity 4/5
 _A = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20).integers(1, 2**63, size=(BANDS, 2), dtype=np.uint64) | np.uint64(1)
@@ -92,6 +94,11 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return _mix(out).view(np.int64)
 
 
+def histogram(s: np.ndarray, bins: int) -> np.ndarray:
+    """Shingles per bin, at most ``MOST_IN_BIN``: what two histograms differ by, no alignment matches."""
+    return np.minimum(np.bincount((s & np.uint64(bins - 1)).astype(np.int64), minlength=bins), MOST_IN_BIN).astype(np.int8)
+
+
 def matched(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """The most shingles an alignment within ``band`` of the diagonal matches."""
     n = min(len(a), len(b))
@@ -137,16 +144,15 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _signatures(docs: DataFrame) -> DataFrame:
     """doc_id, h, key, m, bands, bins of every row."""
-    @F.pandas_udf("key binary, m int, bands array<long>, bins array<int>")
+    @F.pandas_udf("key binary, m int, bands array<long>, few array<byte>, bins array<byte>")
     def signature(texts: pd.Series) -> pd.DataFrame:
         out = []
         with np.errstate(over="ignore"):
             for t in texts:
                 w = word_hashes(t)
                 s = shingles(w)
-                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s),
-                            np.bincount((s & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS).astype(np.int32)))
-        return pd.DataFrame(out, columns=["key", "m", "bands", "bins"])
+                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s), histogram(s, FEW), histogram(s, BINS)))
+        return pd.DataFrame(out, columns=["key", "m", "bands", "few", "bins"])
 
     t = docs.select("doc_id", whole_text().alias("text"))
     return t.select("doc_id", F.xxhash64("text").alias("h"), signature("text").alias("s")).select("doc_id", "h", "s.*")
@@ -170,12 +176,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), class_id, class_size, kept of every row."""
     rows = stored(_signatures(docs), "signatures")
     keys = rows.groupBy("key").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "h")).alias("rep"),
-                                   F.first("m").alias("m"), F.first("bands").alias("bands"), F.first("bins").alias("bins"))
+                                   *[F.first(c).alias(c) for c in ("m", "bands", "few", "bins")])
     keys = stored(keys, "keys")
     bands = keys.select("key", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("key").alias("leader"), F.max("key").alias("_last")).filter("leader <> _last").drop("_last")
-    members = stored(bands.join(shared, "bucket"), "members")
-    wanted = (members.select("key").distinct().join(keys.select("key", "rep"), "key")
+    total = keys.count() * BANDS
+    shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = stored(join_groups(bands, shared, "bucket", "n", total), "members")
+    rank = F.struct(F.col("reach"), F.col("key"))
+    reach = stored(members.groupBy("key").agg(F.sum("n").alias("reach")), "reach")
+    ranked = members.join(reach, "key").withColumn("rank", rank)
+    leaders = stored(ranked.groupBy("bucket").agg(F.max("rank").alias("leader"), F.count(F.lit(1)).alias("n")), "leaders")
+    wanted = (reach.select("key").join(keys.select("key", "rep"), "key")
                      .select("key", F.col("rep.doc_id").alias("_d"), F.col("rep.h").alias("_h")))
 
     @F.pandas_udf("binary")
@@ -186,24 +197,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     seqs = t.join(wanted, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")))
     seqs = stored(seqs.select("key", sequence("text").alias("seq")).dropDuplicates(["key"]), "sequences")
 
-    first = (members.filter("key <> leader").groupBy("key").agg(F.min("leader").alias("leader"))
-                    .select(F.col("key").alias("a"), F.col("leader").alias("b")))
+    first = (join_groups(members.drop("n"), leaders, "bucket", "n", total).groupBy("key").agg(F.max("leader").alias("leader"))
+             .select(F.col("key").alias("a"), F.col("leader.key").alias("b")).filter("a <> b"))
     links = stored(_verified(first, seqs), "first-links")
     label = components(links)
     named = (members.join(label.withColumnRenamed("v", "key"), "key", "left")
                     .withColumn("label", F.coalesce("label", "key")))
-    top = named.filter("key = leader").select("bucket", F.col("label").alias("top"))
-    named = stored(named.join(top, "bucket").select("bucket", "key", "label", "top"), "named")
+    top = (leaders.select("bucket", F.col("leader.key").alias("key"), "n").join(label.withColumnRenamed("v", "key"), "key", "left")
+                  .select("bucket", F.coalesce("label", "key").alias("top"), "n"))
+    named = stored(join_groups(named.drop("n"), top, "bucket", "n", total).select("bucket", "key", "label", "top", "n"), "named")
     others = named.filter("label <> top")
-    mixed = others.select("bucket").distinct()
-    size = keys.select("key", "m", "bins")
-    left = others.join(size, "key").select("bucket", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"), F.col("bins").alias("ha"))
-    right = (named.join(mixed, "bucket").join(size, "key")
-                  .select("bucket", F.col("key").alias("b"), F.col("label").alias("lb"), "top", F.col("m").alias("mb"), F.col("bins").alias("hb")))
-    apart = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+    mixed = others.select("bucket", "n").distinct()
+    size = keys.select("key", "m", "few", "bins")
+    left = others.join(size, "key").select("bucket", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"),
+                                           F.col("few").alias("fa"), F.col("bins").alias("ha"))
+    right = (join_groups(named.drop("n"), mixed, "bucket", "n", total).join(size, "key")
+                  .select("bucket", F.col("key").alias("b"), F.col("label").alias("lb"), "top", F.col("m").alias("mb"), F.col("few").alias("fb"), F.col("bins").alias("hb")))
+
+    def near(x, y):
+        apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda n, d: n + d)
+        return apart * (NUM + DEN) <= (F.col("ma") + F.col("mb")) * (DEN - NUM)
+
     rest = (left.join(right, "bucket").filter("la <> lb and (lb = top or a < b)")
                 .filter("least(ma, mb) * 5 >= greatest(ma, mb) * 4")
-                .filter(apart * (NUM + DEN) <= (F.col("ma") + F.col("mb")) * (DEN - NUM))
+                .filter(near("fa", "fb")).filter(near("ha", "hb"))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     more = _verified(rest, seqs)
     between = (more.join(label.select(F.col("v").alias("a"), F.col("label").alias("la")), "a", "left")
@@ -216,7 +233,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       .select("doc_id", "h", F.coalesce("_to", "label").alias("label")))
     classes = named_rows.groupBy("label").agg(
         F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "h")).alias("rep"), F.count(F.lit(1)).alias("class_size"))
-    return named_rows.join(classes, "label").select(
+    return join_groups(named_rows, classes, "label", "class_size", rows.count()).select(
         "doc_id", "h", F.col("rep.doc_id").alias("class_id"), "class_size",
         (F.col("doc_id").eqNullSafe(F.col("rep.doc_id")) & (F.col("h") == F.col("rep.h"))).alias("kept"))
 
