@@ -3,7 +3,6 @@
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
 
 from cohortsmith.llm import op1_pu_quality as op1
 from cohortsmith.llm import op3_multiset_hash as op3
@@ -129,4 +128,3 @@ def test_fingerprint_of_one_row(spark):
 def test_stored_tables_stay_in_the_shared_folder(spark, odd):
     path = op5.exact_duplicates(odd).inputFiles()[0]
     assert spark.sparkContext.getConf().get("spark.checkpoint.dir") in path
-    assert F is not None
