@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 import zlib
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -105,7 +104,3 @@ def frames(it):
     for b in it:
         if b.num_rows:
             yield b.to_pandas()
-
-
-def column(pdf: pd.DataFrame, name: str) -> list:
-    return pdf[name].tolist()

@@ -113,7 +113,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)).cast("long"))
     t = docs.select("doc_id", key.alias("_k"), whole_text().alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = t.agg(F.min("_k").alias("least"), F.percentile_approx("_k", [i / n for i in range(1, n)] or [0.5]).alias("b")).first()
+    cuts = t.agg(F.min("_k").alias("least"), F.percentile_approx("_k", [i / n for i in range(1, n)] or [0.5], max(10_000, 20 * n)).alias("b")).first()
     bounds = sorted(set(cuts["b"] or []) - {cuts["least"]})
     own, before = _bucket(F.col("_k"), bounds, False), _bucket(F.col("_k"), bounds, True)
     t = t.withColumn("_own", own).withColumn("_before", before)
