@@ -336,3 +336,47 @@ def test_layouts_are_told_by_their_paths(spark):
     assert len({x.fingerprint for x in LAYOUTS}) == len(LAYOUTS)
     with pytest.raises(ValueError):
         layout_of(spark.range(1).schema)
+
+
+def test_bm25_neighbours_come_from_the_whole_table(spark, tmp_path):
+    """Pieces in many blocks and tasks: each seed's list equals brute force over all of them."""
+    r = np.random.default_rng(8)
+    n = op7.SHARD + 500
+    pieces = [r.integers(1, 400, r.integers(3, 30)).astype("<u2") for _ in range(n)]
+    idf, mean = r.random(op7.VOCABULARY), 15.0
+    rows = [(i, p.tobytes()) for i, p in enumerate(pieces)]
+    postings = spark.createDataFrame(rows, "row long, rest binary").repartition(3).mapInArrow(
+        op7._weighed(idf, mean), "row long, length int, terms binary, weights binary")
+    is_open = r.random(n) < 0.8
+    seeds, hot = np.array([5, 999, n - 1]), np.arange(1, 40)
+    got = op7.neighbours(postings, seeds, is_open, 12, hot)
+    weights = [dict(zip(t.tolist(), w)) for t, w in op7.weights(pieces, idf, mean)]
+    for s in seeds:
+        score = {i: sum(weights[i].get(t, 0.0) for t in weights[s]) for i in np.flatnonzero(is_open) if i != s}
+        want = sorted(score, key=lambda i: (-score[i], (i - s) % n))[:12]
+        assert np.allclose([score[i] for i in got[s]], [score[i] for i in want], rtol=1e-5) and len(set(got[s])) == 12
+
+
+@pytest.mark.parametrize("listed", [1, 8, 400])
+def test_windows_take_the_best_unused_pieces(listed):
+    """However short the lists are, every piece is placed once and one window at most is short."""
+    r = np.random.default_rng(listed)
+    length = r.integers(0, op7.WINDOW, 300).astype(np.int32)
+    score = r.random((300, 300))
+
+    def ask(seeds, is_open, most):
+        return {int(s): [int(i) for i in np.argsort(-score[s]) if is_open[i] and i != s][:most] for s in seeds}
+
+    windows = [w for some in op7.pack(length, ask, seeds=16, listed=listed) for w in some]
+    assert sum(sum(k for *_, k in w) < op7.WINDOW for w in windows) <= 1
+    covered = collections.defaultdict(list)
+    for w in windows:
+        for i, start, k in w:
+            covered[i].append((start, k))
+    for i, parts in covered.items():
+        at = 0
+        for start, k in sorted(parts):
+            assert start == at and k > 0
+            at += k
+        assert at == length[i]
+    assert set(covered) == set(np.flatnonzero(length).tolist())
