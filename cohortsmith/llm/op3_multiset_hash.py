@@ -6,13 +6,16 @@ two.  So the order of paragraphs does not matter, and inserting or deleting a pa
 or subtracting its vector (``plus``, ``minus``).  The vector has two parts:
 
 * 6 lanes modulo 2^40, cut from the paragraph's SHA-256: they settle equality;
-* 60 counts (kept three to a lane, 20 lanes modulo 2^62) of the set bits in the 64-bit hashes of
-  the paragraph's words of five characters or more, and the number of those words.  Counts minus
-  their mean are a random projection of the word multiset, so the cosine of two documents' counts
-  estimates how much of it they share (``likeness``, noise about 0.1).
+* 64 counts (kept two to a lane, 32 lanes modulo 2^62) of the set bits in the 64-bit hashes of
+  all words of the paragraph, and the number of those words; a paragraph that is not empty and has
+  no word counts as one.  Counts minus their mean are a random projection of the word multiset, so
+  the cosine of two documents' counts estimates how much of it they share (``likeness``, noise
+  about 0.1).
+
+Words are counted in stretches of ``STRETCH``, eight counts to a long, whose sums go to the lanes.
 
 Defined cases: null text counts as empty (one empty paragraph); equal fingerprints have likeness
-1; a text without such words has likeness 0 to all others; null ids come first and ties go by a
+1; a text of line feeds only has likeness 0 to all others; null ids come first and ties go by a
 hash of the text; the next document of a single row is itself; an empty table gives an empty
 result; other input columns are not read.
 """
@@ -27,16 +30,21 @@ from pyspark.sql import functions as F
 from .common import whole_text
 
 STRONG, STRONG_BITS = 6, 40
-SHIFTS, FIELD = 20, 20
-ONES = 1 | 1 << FIELD | 1 << 2 * FIELD
-WRAP = (1 << 62) - 1
-LEAST_WORD = 5
+LANES, FIELD = 32, 31
+WRAP = (1 << 2 * FIELD) - 1
+BYTES = 0x0101010101010101
+STRETCH = 127
+WORD = r"[\p{L}\p{N}]"
 
 
 def _longs(values) -> Column:
     return F.array(*[F.lit(v).cast("long") for v in values])
 
 
+def _byte(sums: Column, bit: Column) -> Column:
+    return F.call_function("shiftright", F.get(sums, bit % 8), (bit - bit % 8).cast("int")).bitwiseAND(255)
+
+
 def vector(text: Column) -> Column:
     """struct(strong, counts, words): the sum of the vectors of the text's paragraphs."""
     digests = F.transform(F.split(text, "\n", -1), lambda p: F.sha2(p, 256))
@@ -44,11 +52,21 @@ def vector(text: Column) -> Column:
     strong = F.aggregate(digests, _longs([0] * STRONG), lambda acc, d: F.transform(acc, lambda a, j: (
         a + F.conv(F.substring(d, (j * digits + 1).cast("int"), F.lit(digits)), 16, 10).cast("long")
     ).bitwiseAND((1 << STRONG_BITS) - 1)))
-    hashes = F.transform(F.filter(F.split(text, r"[^\p{L}\p{N}]+", -1), lambda w: F.length(w) >= LEAST_WORD),
-                         lambda w: F.xxhash64(w))
-    counts = F.aggregate(hashes, _longs([0] * SHIFTS), lambda acc, h: F.transform(acc, lambda a, k: (
-        a + F.call_function("shiftright", h, k).bitwiseAND(ONES)).bitwiseAND(WRAP)))
-    return F.struct(strong.alias("strong"), counts.alias("counts"), F.size(hashes).cast("long").alias("words"))
+    words = F.concat(F.filter(F.split(text, r"[^\p{L}\p{N}]+", -1), lambda w: w != ""),
+                     F.filter(F.split(text, "\n", -1), lambda p: (p != "") & ~p.rlike(WORD)))
+    # in arrays of one, so that the hashes are made once and not for every stretch; no column is
+    # named inside a lambda, where an alias of the same name would be taken for it
+    made = F.array(F.struct(strong.alias("strong"), F.transform(words, lambda w: F.xxhash64(w)).alias("hashes")))
+    # bit 8 f + k of the hashes is counted in byte f of the k-th sum
+    summed = F.transform(made, lambda m: F.struct(
+        m["strong"].alias("strong"), F.size(m["hashes"]).cast("long").alias("words"),
+        F.transform(F.sequence(F.lit(1), F.greatest(F.size(m["hashes"]), F.lit(1)), F.lit(STRETCH)), lambda i: F.aggregate(
+            F.slice(m["hashes"], i, STRETCH), _longs([0] * 8), lambda acc, h: F.transform(
+                acc, lambda a, k: a + F.call_function("shiftright", h, k).bitwiseAND(BYTES)))).alias("sums")))
+    # lane j holds the counts of bits j and j + 32
+    return F.element_at(F.transform(summed, lambda m: F.struct(m["strong"].alias("strong"), F.aggregate(
+        m["sums"], _longs([0] * LANES), lambda acc, s: F.transform(acc, lambda a, j: (
+            a + _byte(s, j) + F.shiftleft(_byte(s, j + LANES), FIELD)).bitwiseAND(WRAP))).alias("counts"), m["words"].alias("words"))), 1)
 
 
 def _with(a: Column, b: Column, sign: int) -> Column:
@@ -76,7 +94,7 @@ def fingerprint(v: Column) -> Column:
 
 def _centred(v: Column) -> Column:
     fields = F.flatten(F.transform(v["counts"], lambda x: F.array(*[
-        F.shiftright(x, FIELD * f).bitwiseAND((1 << FIELD) - 1) for f in range(3)])))
+        F.shiftright(x, FIELD * f).bitwiseAND((1 << FIELD) - 1) for f in range(2)])))
     return F.transform(fields, lambda c: (2 * c - v["words"]).cast("double"))
 
 

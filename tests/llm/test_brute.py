@@ -380,3 +380,32 @@ def test_windows_take_the_best_unused_pieces(listed):
             at += k
         assert at == length[i]
     assert set(covered) == set(np.flatnonzero(length).tolist())
+
+
+def test_likeness_of_short_words_and_of_texts_without_words(spark):
+    r = random.Random(2)
+    short = [" ".join("".join(r.choice("abcdefgh0123456789") for _ in range(3)) for _ in range(400)) for _ in range(2)]
+    signs = ["\n".join("".join(r.choice("+-*/<>=!?") for _ in range(12)) for _ in range(300)) for _ in range(2)]
+    for a, b in (short, signs):
+        half = a[:len(a) // 2] + b[:len(b) // 2]
+        row = spark.createDataFrame([(a, half, b)], "a string, half string, b string").select(
+            op3.likeness(op3.vector(F.col("a")), op3.vector(F.col("half"))).alias("near"),
+            op3.likeness(op3.vector(F.col("a")), op3.vector(F.col("b"))).alias("far")).first()
+        assert 0.2 < row["near"] < 0.95 and row["far"] < row["near"]
+
+
+def test_counts_do_not_wrap(spark):
+    text = F.concat(F.repeat(F.when(F.col("id") >= 0, "evergreen "), 2_200_000), F.lit("other words"))
+    v = spark.range(1).select(op3.vector(text).alias("v"), op3.vector(F.lit("evergreen")).alias("one")).select("v", op3.likeness(F.col("v"), F.col("one")).alias("near"), F.xxhash64(F.lit("evergreen")).alias("h")).first()
+    counts = [x >> 31 * f & (1 << 31) - 1 for f in range(2) for x in v["v"]["counts"]]
+    assert v["v"]["words"] == 2_200_002 and v["near"] > 0.99
+    assert all(2_200_000 * (v["h"] >> j & 1) <= c <= 2_200_000 * (v["h"] >> j & 1) + 2 for j, c in enumerate(counts))
+
+
+def test_counts_equal_those_by_hand(spark):
+    text = "one two two\n--\n" + " ".join(f"w{i}" for i in range(300))
+    words = ["one", "two", "two", "--", *(f"w{i}" for i in range(300))]
+    hashes = [r["h"] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").alias("h")).collect()]
+    v = spark.createDataFrame([(text,)], "t string").select(op3.vector(F.col("t")).alias("v")).first()["v"]
+    assert v["words"] == len(words)
+    assert [x >> 31 * f & (1 << 31) - 1 for f in range(2) for x in v["counts"]] == [sum(h >> j & 1 for h in hashes) for j in range(64)]
