@@ -19,6 +19,8 @@ columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import zstandard
@@ -41,9 +43,10 @@ def features(text: str, packer: zstandard.ZstdCompressor) -> list[float]:
     n = max(1, len(words))
     lengths = np.fromiter(map(len, words), float, len(words)) if words else np.zeros(1)
     ends = sum(not w[-1].isalnum() for w in words) / n
-    common = (max(map(words.count, set(words[:3] + words[-3:]))) if 0 < len(words) <= 50 else 0) / n
+    counts = Counter(words)
+    common = max(counts.values(), default=0) / n
     return [
-        np.log1p(len(b)), np.log1p(len(words)), len(set(words)) / n, len(set(lines)) / len(lines),
+        np.log1p(len(b)), np.log1p(len(words)), len(counts) / n, len(set(lines)) / len(lines),
         float(lengths.mean()), float(lengths.std()), float(lengths.max()), ends, common,
         len(packer.compress(b)) / (len(b) + 20), len(lines) / n, float(h[128:].sum()),
         float(h[65:91].sum()), float(h[48:58].sum()), float(h[33:48].sum() + h[58:65].sum() + h[91:97].sum() + h[123:127].sum()),

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from cohortsmith.llm import op1_pu_quality as op1
 from cohortsmith.llm import op3_multiset_hash as op3
 from cohortsmith.llm import op4_cube_mixing as op4
 from cohortsmith.llm import op5_polynomial_dedup as op5
@@ -409,3 +410,10 @@ def test_counts_equal_those_by_hand(spark):
     v = spark.createDataFrame([(text,)], "t string").select(op3.vector(F.col("t")).alias("v")).first()["v"]
     assert v["words"] == len(words)
     assert [x >> 31 * f & (1 << 31) - 1 for f in range(2) for x in v["counts"]] == [sum(h >> j & 1 for h in hashes) for j in range(64)]
+
+
+@pytest.mark.parametrize("n", [10, 30, 500])
+def test_commonest_word_is_sought_in_the_whole_text(n):
+    """The repeated word stands in the middle only; the feature is the same share at every length."""
+    middle = [f"a{i}" for i in range(n)] + ["spam"] * n + [f"b{i}" for i in range(n)]
+    assert op1.matrix([" ".join(middle), ""])[:, 8].tolist() == pytest.approx([1 / 3, 0.0])
