@@ -3,6 +3,7 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortsmith.llm import op1_pu_quality as op1
 from cohortsmith.llm import op3_multiset_hash as op3
@@ -13,6 +14,8 @@ from cohortsmith.llm import op7_retrieval_packing as op7
 from cohortsmith.llm import op8_feistel_shards as op8
 from cohortsmith.llm import op9_suffix_dedup as op9
 from cohortsmith.llm import op10_compression_toxicity as op10
+from cohortsmith.llm import op11_suffix_decontamination as op11
+from cohortsmith.llm import op13_merkle_manifest as op13
 from cohortsmith.llm.op2_chat_format import canonical_turns, format_chats, parse_chats
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, key string, label string, size string, "
@@ -39,13 +42,19 @@ def labels(spark):
                                  "doc_id long, quality int, toxic int")
 
 
+def items(df):
+    return df.select(F.col("doc_id").alias("item_id"), "text", "label").filter("1 = 0")
+
+
 PER_ROW = {
     "quality": lambda d, x: op1.score_quality(d, x), "fingerprints": lambda d, x: op3.document_fingerprints(d),
     "mix": lambda d, x: op4.mix_sources(d), "exact": lambda d, x: op5.exact_duplicates(d), "near": lambda d, x: op6.near_duplicates(d),
     "shards": lambda d, x: op8.feistel_shards(d), "substrings": lambda d, x: op9.remove_repeats(d),
-    "toxicity": lambda d, x: op10.score_toxicity(d, x)}
+    "toxicity": lambda d, x: op10.score_toxicity(d, x),
+    "benchmark words": lambda d, x: op11.contaminated_words(d, items(d)), "proofs": lambda d, x: op13.Manifest(op13.document_leaves(d)).proofs()}
 KEEP = {"mixed": lambda d, x: op4.mixed(d), "drop exact": lambda d, x: op5.drop_exact_duplicates(d),
-        "drop near": lambda d, x: op6.drop_near_duplicates(d), "drop toxic": lambda d, x: op10.drop_toxic(d, x)}
+        "drop near": lambda d, x: op6.drop_near_duplicates(d), "drop toxic": lambda d, x: op10.drop_toxic(d, x),
+        "decontaminate": lambda d, x: op11.decontaminate(d, items(d))}
 
 
 @pytest.mark.parametrize("name", PER_ROW)

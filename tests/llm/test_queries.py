@@ -16,13 +16,13 @@ SF = "/root/testdata/sf0.001"
 def test_all_registered():
     import __spark_entry__ as entry
     names = set(entry.queries())
-    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLE_SQL[name])
     got = queries.QUERIES[name](spark, SF).select(*want.columns).collect()
