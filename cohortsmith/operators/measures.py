@@ -66,22 +66,24 @@ def clean_measurements(raw: DataFrame, limits: DataFrame, units: DataFrame, vali
 def same_day_ratio(clean: DataFrame, limits: DataFrame, *, num: str = "albumin_urine",
                    den: str = "creatinine_urine", out: str = "acr_from_separate",
                    limit_concept: str = "acr") -> DataFrame:
-    """Ratio of two measures taken the same day (join on patid AND date), re-cleaned with the
-    limits of ``limit_concept``; a zero denominator gives NULL and is dropped by the limits."""
-    a = clean.filter(F.col("concept") == num).select("patid", "date", F.col("value").alias("_n"))
-    b = clean.filter(F.col("concept") == den).select("patid", "date", F.col("value").alias("_d"))
-    r = a.join(b, ["patid", "date"]).select(
-        "patid", F.lit(out).alias("concept"), "date", F.try_divide("_n", "_d").alias("value"))
+    """Ratio of two measures taken the same day, re-cleaned with the limits of ``limit_concept``; a
+    zero denominator gives NULL and is dropped by the limits.
+
+    ``clean`` has one row per (patid, concept, day), so the pairing is one aggregate by patid and
+    date: it combines on the map side and, on a table in buckets of patid, exchanges nothing."""
+    pick = lambda c: F.max(F.when(F.col("concept") == c, F.col("value")))
+    days = (clean.filter(F.col("concept").isin(num, den) & F.col("patid").isNotNull() & F.col("date").isNotNull())
+                 .groupBy("patid", "date").agg(pick(num).alias("_n"), pick(den).alias("_d")))
+    r = days.select("patid", F.lit(out).alias("concept"), "date", F.try_divide("_n", "_d").alias("value"))
     return apply_value_limits(r, limits, limit_concept=limit_concept)
 
 
-def derive_egfr(clean: DataFrame, dob: DataFrame, patient: DataFrame, *,
-                creatinine: str = "creatinine_blood", out: str = "egfr",
-                unit: str = "umol/L") -> DataFrame:
-    """eGFR from clean creatinine, age at the test and sex; patients missing dob or sex row are
-    dropped (inner joins) and NULL results are removed."""
+def derive_egfr(clean: DataFrame, people: DataFrame, *, creatinine: str = "creatinine_blood",
+                out: str = "egfr", unit: str = "umol/L") -> DataFrame:
+    """eGFR from clean creatinine, age at the test and sex; ``people`` (patid, dob, gender) has one
+    row per patient.  Patients without a row, dob or sex are dropped (NULL results are removed)."""
     cr = clean.filter(F.col("concept") == creatinine).select("patid", "date", "value")
-    j = cr.join(dob.select("patid", "dob"), "patid").join(patient.select("patid", "gender"), "patid")
+    j = cr.join(people.select("patid", "dob", "gender"), "patid")
     age = years_between(F.col("date"), F.col("dob"))
     egfr = egfr_ckd_epi_2021(F.col("value"), sex_label(F.col("gender")), age, unit=unit)
     return (j.select("patid", F.lit(out).alias("concept"), "date", egfr.alias("value"))

@@ -21,6 +21,7 @@ from ..operators import describe as D
 from ..operators import events as E
 from ..operators import features as FT
 from ..operators import measures as M
+from ..operators import sketches as SK
 from ..session import ensure_store
 from ..sources import codelists as CL
 from ..sources import store as S
@@ -166,7 +167,7 @@ def _unit_nullsafe_join(b):
 @query("materialize_once", "SELECT * FROM raw_meas", ["value"])
 def _materialize_once(b):
     """Coded measurements written once under a name; later calls read the stored table."""
-    return S.materialize(b.raw_measurements, f"raw_measurements_{b.tag}", namespace="all_patid")
+    return S.materialize(b.raw_measurements, f"raw_measurements_{S.plan_digest(b.raw_measurements)}", namespace="all_patid")
 
 
 _KEYED = ["biomarkers", "stage", "comorbidities", "medications", "efi", "cross_section"]
@@ -566,6 +567,118 @@ def _warehouse_tables_roundtrip(b):
     return CohortBuild(TW.TableWarehouse(b.wh.spark, paths), deficits=X.efi_deficits()).biomarkers
 
 
+# ---------------------------------------------------------------------------------------
+# lists added to what is stored, own index dates, landmarks, attrition, sketches, names
+# ---------------------------------------------------------------------------------------
+
+
+@query("coded_events_added_list", "SELECT patid, concept, date, value, numunitid FROM raw_meas", ["value"])
+def _coded_events_added_list(b):
+    """All measurement lists but HbA1c stored first; adding HbA1c then extracts that list alone and
+    appends it; the events of all lists are read back."""
+    codes = b.observation_codes.filter(F.col("family") == "measure")
+    store, _, schema = b._coded("added_list", b._extract_observations, codes.filter(F.col("concept") != C.HBA1C))
+    runs = store.ensure(codes)
+    return store.read(runs, schema).select("patid", "concept", "date", "value", "numunitid")
+
+
+def own_index_dates(b: CohortBuild) -> DataFrame:
+    """A fixture of one index date per patient: up to 200 days about the common one."""
+    days = (F.col("patid").cast("long") % 400 - 200).cast("int")
+    return b.wh.patient.select("patid", F.date_add(F.lit(IDX), days).alias("index_date"))
+
+
+_BY_PATIENT: dict[int, CohortBuild] = {}
+
+
+def _by_patient(b: CohortBuild) -> CohortBuild:
+    if id(b) not in _BY_PATIENT:
+        _BY_PATIENT[id(b)] = b.with_options(index_dates=own_index_dates(b))
+    return _BY_PATIENT[id(b)]
+
+
+_OWN = f"(SELECT patid, {O.IDX} + CAST(CAST(patid AS BIGINT) % 400 - 200 AS INTEGER) AS own FROM spine)"
+_near = lambda rows: f"""SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER (PARTITION BY patid, concept, own ORDER BY abs(datediff),
+  CASE WHEN concept IN {O._in(C.PREFER_MAX)} THEN -value ELSE value END, datediff) AS place FROM ({rows}) w
+  WHERE datediff BETWEEN {C.BASELINE_LO} AND {C.BASELINE_HI}) r WHERE place = 1"""
+
+
+@query("baseline_nearest_by_patient", "SELECT * EXCLUDE (own) FROM (" + _near(f"""SELECT m.patid, m.concept, m.value, m.date,
+  {O._dd('m.date', 'i.own')} AS datediff, i.own FROM measures m JOIN {_OWN} i ON m.patid = i.patid
+  WHERE m.value IS NOT NULL AND m.concept IN {O._in(C.baseline_concepts() + [C.HBA1C])}""") + ") q", ["value"])
+def _baseline_nearest_by_patient(b):
+    """Nearest values about each patient's own index date, a column of the spine."""
+    return _by_patient(b).baseline_long
+
+
+@query("event_dates_by_patient", f"""SELECT e.patid, concept, min(date) FILTER (date <= own) AS earliest_pre,
+  max(date) FILTER (date <= own) AS latest_pre, min(date) FILTER (date > own) AS first_post
+  FROM com_ev e JOIN {_OWN} i ON e.patid = i.patid GROUP BY e.patid, concept""")
+def _event_dates_by_patient(b):
+    own = _by_patient(b)
+    return FT.event_dates(own._indexed(own.comorbidity_dates), own.index)
+
+
+LANDMARKS = [IDX + dt.timedelta(days=n) for n in (-730, -365, 0, 365)]
+_marks = "[" + ", ".join(f"DATE '{d.isoformat()}'" for d in LANDMARKS) + "]"
+_asof = lambda op: f"""SELECT l.patid, l.concept, m.value, m.date, {O._dd('m.date', 'l.own')} AS datediff, l.own
+  FROM (SELECT patid, concept, unnest({_marks}) AS own FROM spine, (SELECT unnest({list(C.baseline_concepts() + [C.HBA1C])!r}) AS concept) c) l
+  ASOF JOIN (SELECT * FROM measures WHERE value IS NOT NULL) m ON l.patid = m.patid AND l.concept = m.concept AND l.own {op} m.date"""
+
+
+@query("baseline_nearest_landmarks", "SELECT * RENAME (own AS landmark) FROM (" + _near(f"{_asof('>=')} UNION ALL {_asof('<')}") + ") q", ["value"])
+def _baseline_nearest_landmarks(b):
+    """Nearest values at four index dates from one sweep over events and landmarks."""
+    return b.baseline_landmarks(LANDMARKS)
+
+
+def _steps(rules: list[tuple[str, str]], table: str) -> str:
+    """Rows and patients left after each rule, by one query per step."""
+    out, cond = [], "TRUE"
+    for k, (name, rule) in enumerate([("all", "TRUE"), *rules]):
+        cond = f"{cond} AND ({rule})"
+        out.append(f"SELECT {k} AS step, '{name}' AS rule, count(*) AS n_rows, count(DISTINCT patid) AS n_patients FROM {table} WHERE {cond}")
+    return " UNION ALL ".join(out)
+
+
+@query("measurement_attrition", _steps([
+    ("value in limits", "value >= lo AND value <= hi"), ("unit listed", "unit"),
+    ("HbA1c after the floor", f"concept <> 'hba1c' OR year(date) >= {C.HBA1C_MIN_YEAR}"), ("registered", "date >= min_dob AND date <= gp_end_date")],
+    """(SELECT r.*, l.lo, l.hi, v.min_dob, v.gp_end_date, EXISTS (SELECT 1 FROM unit_whitelist u WHERE u.concept = r.concept
+        AND u.numunitid IS NOT DISTINCT FROM r.numunitid) AS unit
+      FROM meas_conv r LEFT JOIN value_limits l ON r.concept = l.concept LEFT JOIN valid_dates v ON r.patid = v.patid)"""))
+def _measurement_attrition(b):
+    return b.measurement_attrition()
+
+
+@query("cohort_attrition", _steps([
+    ("diagnosed", f"dm_diag_date_all <= {O.IDX}"), ("registration begun", f"regstartdate <= {O.IDX}"),
+    ("registration lasting", f"gp_record_end >= {O.IDX}"), ("alive", f"death_date IS NULL OR death_date >= {O.IDX}"),
+    ("type 2", "diabetes_type = 'type 2'"), ("treated", "ncurrtx > 0"), ("no stage 5 code", "NOT pre_index_date_ckd5_code"),
+    ("stage known and not 5", "preckdstage <> 'stage_5'"), ("eGFR known", "preegfr IS NOT NULL"), ("uACR known", "uacr IS NOT NULL"),
+    ("kidney disease", f"NOT (preckdstage IN {O._in(C.STAGE_ZERO_FROM)} AND uacr < {C.ELIG_UACR})")],
+    """(SELECT c.patid, c.dm_diag_date_all, c.regstartdate, c.gp_record_end, c.death_date, c.diabetes_type, f.ncurrtx, f.pre_index_date_ckd5_code,
+        f.preckdstage, f.preegfr, f.uacr FROM diabetes_cohort c LEFT JOIN flagged f ON c.patid = f.patid)"""))
+def _cohort_attrition(b):
+    return b.cohort_attrition()
+
+
+@query("table_one_sketched", f"""SELECT stratum, variable, count(value) AS n, TRUE AS p25_within, TRUE AS median_within, TRUE AS p75_within
+  FROM ({_long_cont}) l WHERE value IS NOT NULL GROUP BY stratum, variable""")
+def _table_one_sketched(b):
+    """Quartiles from the merged sketches of two snapshots (two parts of the extract), held
+    against the rows: their ranks lie within the stated bound."""
+    merged = SK.merge_sketches(b.table_one_sketches(F.col("imd_decile") <= 5), b.table_one_sketches(F.col("imd_decile") > 5))
+    return SK.rank_within(b.with_eligibility(), _CONT, _S, SK.table_one_sketched(merged), SK.rank_error())
+
+
+@query("read_derived_by_name", "SELECT * FROM biomarkers", BIO_VALUES)
+def _read_derived_by_name(b):
+    """The biomarker table read by its plain name in a second session, which builds nothing."""
+    b.biomarkers
+    return S.read_derived(b.wh.spark.newSession(), "biomarkers", b.wh.version, index_date=IDX)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -46,6 +46,8 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # buckets of stored one-row-per-patient tables; all must agree for joins without exchange
+    "cohortsmith.store.buckets": "4000",
 }
 
 
@@ -63,6 +65,9 @@ def build_session(master: str | None = None, app: str = "cohortsmith", conf: dic
     return spark
 
 
+_ROOTS: dict[str, str] = {}  # application -> its private folder: all its sessions share one
+
+
 def ensure_store(spark: SparkSession) -> str:
     """Root folder for checkpoints and materialised tables (shared storage on a cluster)."""
     root = spark.conf.get(STORE_KEY, None)
@@ -76,11 +81,11 @@ def ensure_store(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
         spark.conf.set(STORE_KEY, root)
         return root
-    root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = sc.getConf().get("spark.checkpoint.dir", None) or _ROOTS.get(sc.applicationId)
     if not root:
         if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="cohortsmith-store-")
+        root = _ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="cohortsmith-store-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(os.path.join(root, "checkpoints"))
     spark.conf.set(STORE_KEY, root)

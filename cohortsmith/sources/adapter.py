@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from . import fixtures as X
-from .store import code_digest, files_digest, materialize
+from .store import files_digest, inline_table, materialize, plan_digest
 
 
 def _d(y: int, m: int, d: int) -> Column:
@@ -49,10 +49,10 @@ class Warehouse:
 
     def _lookup(self, df: DataFrame, name: str) -> DataFrame:
         """Small lookup tables (codelists, class lookup) are stored once and read back, as a
-        warehouse would hold them; the name carries the data directory and a code digest."""
+        warehouse would hold them; the name carries the digest of the plan and its inputs."""
         if not self.store_lookups:
             return df
-        return materialize(df, f"{name}_{code_digest(self.version)}", namespace="lookups")
+        return materialize(df, f"{name}_{plan_digest(df, self.version_of)}", namespace="lookups")
 
     TABLES = ("customer", "orders", "lineitem", "part")
 
@@ -61,6 +61,13 @@ class Warehouse:
         """Changes with the path and with the files of the tables read."""
         return files_digest(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in self.TABLES])
 
+    def version_of(self, path: str | None) -> str:
+        """The state of the files at ``path`` when this warehouse first saw them."""
+        held = self.__dict__.setdefault("_versions", {})
+        if path not in held:
+            held[path] = files_digest(self.spark, [path]) if path else self.version
+        return held[path]
+
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -210,7 +217,7 @@ class Warehouse:
         extra = rows(p.filter(F.col("p_size") % 10 < len(X.SIZE_CONCEPT)), v24,
                      _case(F.col("p_size") % 10, X.SIZE_CONCEPT), "medcode")
         third = rows(p.filter(F.col("p_partkey") % X.THIRD_EVERY == 0), v24, F.lit(X.THIRD_CONCEPT), "medcode")
-        brands = self.spark.createDataFrame(X.comorbidity_brands(), "concept string, cb int")
+        brands = inline_table(self.spark, X.comorbidity_brands(), "concept string, cb int")
         dx = p.join(F.broadcast(brands), p.brand == brands.cb)  # fixed 43-row config table
         dx24 = rows(dx, v24, F.col("concept"), "medcode")
         dx21 = rows(dx.filter((F.col("cb") <= 20) & (F.col("p_partkey") % 2 == 0)), v21,
@@ -224,8 +231,8 @@ class Warehouse:
         drugs = p.filter(F.col("p_partkey") % 7 < len(X.DRUG_CODE))
         drug24 = rows(drugs, v24, drug_name, "prodcode")
         drug21 = rows(drugs.filter(F.col("p_partkey") % 7 != 5), v21, drug_name, "prodcode")
-        fixed = self.spark.createDataFrame(
-            [(C.VERSION_2024, c, "icd10", code) for c, code in X.icd10_rows()]
+        fixed = inline_table(
+            self.spark, [(C.VERSION_2024, c, "icd10", code) for c, code in X.icd10_rows()]
             + [(C.VERSION_2024, c, "opcs4", code) for c, code in X.opcs4_rows()],
             "version date, concept string, code_system string, code string")
         out = meas
@@ -245,8 +252,8 @@ class Warehouse:
 
     @cached_property
     def value_limits(self) -> DataFrame:
-        return self.spark.createDataFrame(X.VALUE_LIMITS, "concept string, lo double, hi double")
+        return inline_table(self.spark, X.VALUE_LIMITS, "concept string, lo double, hi double")
 
     @cached_property
     def unit_whitelist(self) -> DataFrame:
-        return self.spark.createDataFrame(X.unit_rows(), "concept string, numunitid int")
+        return inline_table(self.spark, X.unit_rows(), "concept string, numunitid int")

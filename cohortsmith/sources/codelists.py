@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+class DuplicateCodes(ValueError):
+    """A code stands more than once in a list: its events would count twice."""
+
 
 def codelist_version(codelists: DataFrame, version) -> DataFrame:
     """All lists as of one version."""

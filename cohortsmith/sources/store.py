@@ -4,30 +4,80 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import json
+import re
 import threading
 import time
 import uuid
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_store
 
 
-#: The modules whose code decides what a stored cohort table holds.
-_CODE = ("config.py", "functions", "operators", "plans", "sources")
+def digest(*parts) -> str:
+    return hashlib.sha1(repr(parts).encode()).hexdigest()[:12]
 
 
-def code_digest(*extra) -> str:
-    """Digest of ``extra`` and of the cohort code: stored tables written by other code or for
-    other inputs are never picked up by name."""
-    h = hashlib.sha1(repr(extra).encode())
-    root = Path(__file__).resolve().parents[1]
-    for p in sorted(f for c in _CODE for f in ([root / c] if c.endswith(".py") else (root / c).rglob("*.py"))):
-        h.update(p.read_bytes())
-    return h.hexdigest()[:12]
+class UnidentifiedInput(ValueError):
+    """A plan reads something whose state has no name (rows held in memory, a foreign table)."""
+
+
+def plan_digest(df: DataFrame, version_of=None) -> str:
+    """Identity of what ``df`` computes: its analysed plan with expression ids renumbered in order
+    of appearance, its schema, and the state of every input.
+
+    Code enters through the plan alone, so an edited comment or another operator changes no
+    digest, and a changed limit changes those whose plan holds it.  Files of stored tables are
+    versions that never change: their path is their state.  Of other files ``version_of(path)``
+    is the state (default: names, sizes and times of the files); ``version_of(None)`` is asked
+    for inputs that are no files, and may raise."""
+    spark = df.sparkSession
+    conf, key = spark.conf, "spark.sql.debug.maxToStringFields"
+    old = conf.get(key, None)
+    conf.set(key, str(1 << 30))
+    try:
+        plan = df._jdf.queryExecution().analyzed()
+        text = plan.toString()
+    finally:
+        conf.unset(key) if old is None else conf.set(key, old)
+    seen: dict[str, str] = {}
+    text = re.sub(r"(#|lambda \w+_)(\d+)", lambda m: m[1] + seen.setdefault(m[2], str(len(seen))), text)
+    text = re.sub(r"plan_id=\d+|splits=\w+\(?\d*\)?|SubqueryAlias .*", "", text)
+    root, states, leaves = ensure_store(spark).rstrip("/"), [], plan.collectLeaves()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind in ("Range", "OneRowRelation", "OneRowRelation$"):
+            continue
+        if kind == "LogicalRelation" and hasattr(leaf.relation(), "location"):
+            for path in leaf.relation().location().rootPaths().mkString("\n").split("\n"):
+                if _bare(path).startswith(f"{_bare(root)}/tables/"):
+                    states.append(_bare(path))
+                else:
+                    states.append(version_of(path) if version_of else files_digest(spark, [path]))
+        else:
+            if version_of is None:
+                raise UnidentifiedInput(f"{kind} has no version")
+            states.append(version_of(None))
+    return digest(text, df.schema.json(), states)
+
+
+def _bare(path: str) -> str:
+    """A path without the scheme that Spark puts before local ones."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def inline_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small table whose rows stand in the plan itself, and so in its digest."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r if isinstance(r, (tuple, list)) else (r,), fields)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
 
 
 def files_digest(spark: SparkSession, paths) -> str:
@@ -57,7 +107,13 @@ def _commits(path: str) -> str:
     return f"{path}/commits"
 
 
-_READ: dict[tuple[str, str], str] = {}  # (application, path) -> version this application reads
+_COMMIT = "seq long, version string, bucket_by string, buckets int, columns string"
+_READ: dict[tuple[str, str], tuple] = {}  # (application, path) -> commit that this application reads
+
+
+def store_buckets(spark: SparkSession) -> int:
+    """Buckets of co-partitioned tables: ``cohortsmith.store.buckets``, else the shuffle partitions."""
+    return int(spark.conf.get("cohortsmith.store.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | None:
@@ -67,18 +123,32 @@ def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | N
     key = (spark.sparkContext.applicationId, path)
     if key not in _READ:
         try:
-            last = spark.read.schema("seq long, version string").parquet(_commits(path)).orderBy(F.desc("seq"), "version").first()
+            last = spark.read.schema(_COMMIT).parquet(_commits(path)).orderBy(F.desc("seq"), "version").first()
         except AnalysisException:
             return None
         if last is None:
             return None
-        _READ[key] = last["version"]
-    return spark.read.parquet(f"{path}/{_READ[key]}")
+        _READ[key] = tuple(last)[1:]
+    version, bucket_by, buckets, columns = _READ[key]
+    return _read_version(spark, f"{path}/{version}", version, bucket_by, buckets, columns)
+
+
+def _read_version(spark: SparkSession, at: str, version: str, bucket_by: str | None, buckets: int | None, columns: str) -> DataFrame:
+    """A version's files.  Buckets are known to Spark through the catalog only, so a bucketed version
+    gets an external table over its files there (the name is the version's own)."""
+    if not bucket_by:
+        return spark.read.parquet(at)
+    table = "cohortsmith_" + version.replace("-", "_")
+    if not spark.catalog.tableExists(table):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(columns)).fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) "
+                  f"INTO {buckets} BUCKETS LOCATION '{at}'")
+    return spark.table(table)
 
 
 def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh: bool = False,
                 partition_by: list[str] | None = None, sort_within: list[str] | None = None,
-                unique: str | None = None) -> DataFrame:
+                unique: str | None = None, bucket_by: str | None = None) -> DataFrame:
     """Write ``df`` once under namespace/name and return the stored table.
 
     A later call with the same name returns the stored table without evaluating ``df``
@@ -86,7 +156,10 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
     becomes current by one appended commit row, so a write that fails leaves the old version in
     place.  ``unique`` names a key that must be unique, checked before the commit.
     ``sort_within`` orders rows inside each task before writing (no shuffle), so Parquet min/max
-    statistics let later filters on those columns skip row groups."""
+    statistics let later filters on those columns skip row groups.  ``bucket_by`` deals the rows
+    out by a key into ``store_buckets`` buckets: joins and aggregates of such tables on that key
+    read bucket by bucket and exchange nothing.  Only for tables in which no key has many rows, as
+    one task reads a bucket."""
     spark = df.sparkSession
     path = table_path(spark, namespace, name)
     with _lock_for(path):  # queries started from several threads never write one table twice
@@ -94,7 +167,7 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
             got = read_stored(spark, namespace, name)
             if got is not None:
                 return got
-        return _write(df, path, partition_by, sort_within, unique)
+        return _write(df, path, partition_by, sort_within, unique, bucket_by)
 
 
 _LOCKS: dict[str, threading.Lock] = {}
@@ -106,25 +179,81 @@ def _lock_for(path: str) -> threading.Lock:
         return _LOCKS.setdefault(path, threading.Lock())
 
 
-def _write(df: DataFrame, path: str, partition_by, sort_within, unique) -> DataFrame:
+def _write(df: DataFrame, path: str, partition_by, sort_within, unique, bucket_by) -> DataFrame:
     spark = df.sparkSession
     version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    if partition_by:  # files of the advisory size per value, not one per value and input task
-        df = df.hint("rebalance", *partition_by)
-    if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
-    w = df.write
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{path}/{version}")
-    stored = spark.read.parquet(f"{path}/{version}")
+    at, n = f"{path}/{version}", store_buckets(spark) if bucket_by else None
+    if bucket_by:  # one file per bucket
+        (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).sortBy(bucket_by).option("path", at)
+           .saveAsTable("cohortsmith_" + version.replace("-", "_")))
+    else:
+        if partition_by:  # files of the advisory size per value, not one per value and input task
+            df = df.hint("rebalance", *partition_by)
+        if sort_within:
+            df = df.sortWithinPartitions(*sort_within)
+        w = df.write
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(at)
+    commit = (version, bucket_by, n, df.schema.json())
+    stored = _read_version(spark, at, *commit)
     if unique:
         assert_unique_key(stored, unique)
-    spark.createDataFrame([(time.time_ns(), version)], "seq long, version string").coalesce(1).write.mode("append").parquet(_commits(path))
-    _READ[(spark.sparkContext.applicationId, path)] = version
+    spark.createDataFrame([(time.time_ns(), *commit)], _COMMIT).coalesce(1).write.mode("append").parquet(_commits(path))
+    _READ[(spark.sparkContext.applicationId, path)] = commit
     return stored
 
 
+# -- derived tables by plain name ---------------------------------------------------------------
+_NAMES = "seq long, name string, namespace string, stored string, data_version string, options map<string,string>"
+
+
+def _names_path(spark: SparkSession) -> str:
+    return f"{ensure_store(spark).rstrip('/')}/tables/names"
+
+
+def register_name(spark: SparkSession, name: str, namespace: str, stored: str, data_version: str, options: dict) -> None:
+    """Say that the plain ``name`` now means the stored table namespace/stored, and what it was made of."""
+    row = (time.time_ns(), name, namespace, stored, data_version, {k: str(v) for k, v in options.items()})
+    spark.createDataFrame([row], _NAMES).coalesce(1).write.mode("append").parquet(_names_path(spark))
+
+
+def derived_tables(spark: SparkSession) -> DataFrame:
+    """Every derived table that has a plain name: name, namespace, stored, data_version, options and
+    whether it is the ``current`` one of its name.  One row per stored table (the last entry)."""
+    try:
+        log = spark.read.schema(_NAMES).parquet(_names_path(spark))
+    except AnalysisException:
+        log = spark.createDataFrame([], _NAMES)
+    last = log.groupBy("name", "namespace", "stored").agg(F.max_by(F.struct("seq", "data_version", "options"), "seq").alias("m"))
+    newest = log.groupBy("name").agg(F.max("seq").alias("newest"))
+    return last.join(newest, "name").select("name", "namespace", "stored", "m.seq", "m.data_version", "m.options",
+                                            (F.col("m.seq") == F.col("newest")).alias("current"))
+
+
+def read_derived(spark: SparkSession, name: str, data_version: str | None = None, **options) -> DataFrame:
+    """The derived table of a plain name, read and not built: the last one registered, or the last
+    of a data version or with the given options (``hospital=True``, ``index_date=...``)."""
+    found = derived_tables(spark).filter(F.col("name") == name)
+    if data_version is not None:
+        found = found.filter(F.col("data_version") == data_version)
+    for k, v in options.items():
+        found = found.filter(F.element_at("options", k) == str(v))
+    row = found.orderBy(F.desc("seq")).first()
+    got = read_stored(spark, row["namespace"], row["stored"]) if row else None
+    if got is None:
+        raise KeyError(f"no derived table {name!r} with {options}")
+    return got
+
+
+def publish_views(spark: SparkSession) -> list[str]:
+    """A temporary view per plain name over its current table; returns the names."""
+    names = [r["name"] for r in derived_tables(spark).filter("current").select("name").collect()]
+    for name in names:
+        read_derived(spark, name).createOrReplaceTempView(name)
+    return sorted(names)
+
+
 def write_snapshot(df: DataFrame, name: str, stamp: dt.date, *, namespace: str = "snapshots") -> str:
     """Write ``df`` as the snapshot of ``name`` stamped yyyymmdd (one stamp format for write and read)."""
     path = f"{table_path(df.sparkSession, namespace, name)}/snapshot={stamp.strftime('%Y%m%d')}"

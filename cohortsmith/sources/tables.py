@@ -50,8 +50,10 @@ def checked(df: DataFrame, table: str) -> DataFrame:
 
 class TableWarehouse:
     """``tables``: domain table -> path (holding a ``/``) of Parquet files, or catalog table name.
-    ``version`` names the state of the data in stored results; by default it follows the files of
-    the paths, and must be given where catalog tables change in place."""
+    ``version`` names the state of the data in stored results; by default it follows the files that
+    each table reads, of catalog tables as well.  A table that is not read from files (a view of rows
+    in memory, a foreign format) has no such state: storing what depends on it raises unless
+    ``version`` is given."""
 
     def __init__(self, spark: SparkSession, tables: dict[str, str], version: str | None = None):
         if unknown := set(tables) - set(CONTRACTS):
@@ -65,6 +67,17 @@ class TableWarehouse:
         paths = sorted(t for t in self.tables.values() if "/" in t)
         return f"{files_digest(self.spark, paths)}-{sorted(self.tables.items())}"
 
+    def version_of(self, path: str | None) -> str:
+        """The state of the files at ``path`` (None: of an input that is no file)."""
+        if path is None:
+            if self._version is None:
+                raise ContractError("a table that is not read from files needs a warehouse with version=")
+            return self._version
+        held = self.__dict__.setdefault("_versions", {})
+        if path not in held:
+            held[path] = f"{self._version}-{files_digest(self.spark, [path])}"
+        return held[path]
+
     def table(self, name: str) -> DataFrame:
         if name not in self.tables:
             raise ContractError(f"table {name} is not in this warehouse")

@@ -47,7 +47,7 @@ def test_matches_oracle(spark, con, key):
 def test_every_query_has_oracle():
     assert set(registry.queries()) == set(registry.oracle_sql())
     assert set(registry.queries()) <= set(ENTRY.queries()) and set(ENTRY.oracle_sql()) <= set(ENTRY.queries())
-    assert len(registry.queries()) == 64
+    assert len(registry.queries()) == 72
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
