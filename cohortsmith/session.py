@@ -25,6 +25,9 @@ DEFAULTS = {
     # patient there even though the aggregate then needs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.shuffle.partitions": "8",
+    # one machine: small inputs still use every core (a cluster sets its own, below)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
+    "spark.sql.files.openCostInBytes": "512k",
     # stored tables are partitioned by a handful of values (e.g. codelist family): write them
     # concurrently instead of sorting every task's rows by the partition column first
     "spark.sql.maxConcurrentOutputFileWriters": "8",
@@ -38,6 +41,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16m",
+    "spark.sql.files.openCostInBytes": "4m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",

@@ -71,7 +71,8 @@ class CodedEvents:
                 run = f"run{time.time_ns()}-{uuid.uuid4().hex[:8]}"
                 names = [f"{r['family']}/{r['concept']}" for r in missing]
                 new = codes.filter(F.concat("family", F.lit("/"), "concept").isin(names))
-                (self.extract(new).hint("rebalance", "family", "concept").sortWithinPartitions("family", "concept", "date")
+                # files of the advisory size that hold few lists each; dates in order, so windows skip row groups
+                (self.extract(new).hint("rebalance", "family", "concept").sortWithinPartitions("date")
                      .write.partitionBy("family").parquet(f"{self.path}/{run}"))
                 entries = [(time.time_ns(), r["family"], r["concept"], r["codes"], run, r["n_codes"]) for r in missing]
                 self.spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")

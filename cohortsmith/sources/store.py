@@ -141,7 +141,7 @@ def _read_version(spark: SparkSession, at: str, version: str, bucket_by: str | N
     table = "cohortsmith_" + version.replace("-", "_")
     if not spark.catalog.tableExists(table):
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(columns)).fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet CLUSTERED BY (`{bucket_by}`) SORTED BY (`{bucket_by}`) "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet CLUSTERED BY (`{bucket_by}`) "
                   f"INTO {buckets} BUCKETS LOCATION '{at}'")
     return spark.table(table)
 
@@ -184,7 +184,7 @@ def _write(df: DataFrame, path: str, partition_by, sort_within, unique, bucket_b
     version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
     at, n = f"{path}/{version}", store_buckets(spark) if bucket_by else None
     if bucket_by:  # one file per bucket
-        (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).sortBy(bucket_by).option("path", at)
+        (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).option("path", at)
            .saveAsTable("cohortsmith_" + version.replace("-", "_")))
     else:
         if partition_by:  # files of the advisory size per value, not one per value and input task
