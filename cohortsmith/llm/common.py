@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 import zlib
 
@@ -21,9 +23,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_store(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give the driver's freed memory back to the system (the allocator keeps it otherwise)."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
 def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
