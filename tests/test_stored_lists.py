@@ -78,6 +78,7 @@ def test_no_code_bytes_in_names(spark, build, monkeypatch):
 
 def test_a_changed_limit_changes_what_depends_on_it(spark, build, monkeypatch):
     limits = [(c, lo, hi - 1 if c == "acr" else hi) for c, lo, hi in X.VALUE_LIMITS]
+    build = CohortBuild(Warehouse(spark, SF), deficits=X.efi_deficits())  # reads the current versions
     old = {t: sorted(getattr(build, t).inputFiles()) for t in ("clean", "biomarkers", "comorbidities", "medications", "stage", "people")}
     monkeypatch.setattr(X, "VALUE_LIMITS", limits)
     other = CohortBuild(Warehouse(spark, SF), deficits=X.efi_deficits())
