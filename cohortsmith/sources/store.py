@@ -112,8 +112,12 @@ _READ: dict[tuple[str, str], tuple] = {}  # (application, path) -> commit that t
 
 
 def store_buckets(spark: SparkSession) -> int:
-    """Buckets of co-partitioned tables: ``cohortsmith.store.buckets``, else the shuffle partitions."""
-    return int(spark.conf.get("cohortsmith.store.buckets", None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    """Buckets of co-partitioned tables: ``cohortsmith.store.buckets``, else the shuffle partitions
+    (on one machine its cores)."""
+    if given := spark.conf.get("cohortsmith.store.buckets", None):
+        return int(given)
+    sc = spark.sparkContext
+    return sc.defaultParallelism if sc.master.startswith("local") else int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | None:
