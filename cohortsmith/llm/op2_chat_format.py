@@ -131,7 +131,12 @@ def canonical_json(df: DataFrame, record: str, key: str = "conv_id", layouts=LAY
     v = F.try_parse_json(F.col(record))
 
     def there(path):
-        return F.try_variant_get("_v", "$." + path.replace("[]", "[0]"), "string").isNotNull()
+        """Whether the record has the path: in any element of a list, a null value included."""
+        at, many, rest = path.partition("[]")
+        if not many:
+            return F.try_variant_get("_v", f"$.{at}", "variant").isNotNull()
+        items = F.try_variant_get("_v", f"$.{at}", "array<variant>")
+        return F.coalesce(F.exists(items, lambda m: F.try_variant_get(m, f"${rest}", "variant").isNotNull()), F.lit(False))
 
     def text(path):
         return F.coalesce(F.try_variant_get("_v", f"$.{path}", "string"), F.lit(""))

@@ -284,3 +284,18 @@ def test_edits_in_ascii_order():
         assert w.read(weight(a)) == (sum(op12.COST[e] for e in a), a)
     same = [a for a in paths if sum(op12.COST[e] for e in a) == 2]
     assert sorted(same) == sorted(same, key=weight)
+
+
+# -- JSON records whose first message is incomplete ------------------------------------------------
+
+
+def test_json_layouts_look_at_all_messages(spark):
+    from cohortsmith.llm.op2_chat_format import canonical_json
+    rows = [(1, '{"messages":[{"role":"assistant","content":null},{"role":"user","content":"hi"}]}'),
+            (2, '{"messages":[{"role":"assistant","tool_calls":[1]},{"role":"user","content":"hi"}]}'),
+            (3, '{"messages":[{"role":"user","content":"hi"}]}'), (4, "{}"), (5, None), (6, "no json"), (7, '{"messages":[]}'), (8, '{"messages":3}')]
+    got = {r["conv_id"]: r for r in canonical_json(spark.createDataFrame(rows, "conv_id long, record string"), "record").collect()}
+    assert got[3]["layout"] is not None and [tuple(t) for t in got[3]["turns"]] == [("user", "hi")]
+    for i in (1, 2):
+        assert got[i]["layout"] == got[3]["layout"] and [tuple(t) for t in got[i]["turns"]] == [("assistant", ""), ("user", "hi")]
+    assert all(got[i]["layout"] is None and got[i]["turns"] is None for i in (4, 5, 6, 7, 8))
