@@ -10,8 +10,8 @@ documents ends with at most two undecided.
 
 Flight runs in blocks of about ``BLOCK`` documents of one source, dealt by a hash of the row, so
 a hot source is many blocks.  What the blocks leave undecided is dealt into blocks again, until
-each source has one; the last one or two documents of a source are landed on the choice whose
-words come nearest.  Steps are drawn from a generator seeded by source, level and block, and
+each source has one; there the last one or two undecided documents and ten decided ones of a
+source are landed together on the choice whose words come nearest.  Steps are drawn from a generator seeded by source, level and block, and
 documents go in a fixed order, so reruns agree.
 
 Defined cases: null text has size 0 and takes 0 words; a null source is a source, ordered last;
@@ -21,11 +21,11 @@ drawn each on its own; other input columns are not read.
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,7 @@ from .common import matching_rows, stored, whole_text
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 2000
 EPS = 1e-9
+LANDED = 12  #: documents of a source's last block that the landing decides together
 WEIGHTS = (1, 2, 3)
 MOST_TIMES = 3
 
@@ -76,17 +77,21 @@ def flight(prob: list[float], size: list[int], rng: random.Random) -> list[float
     return prob
 
 
-def landing(prob: list[float], size: list[int], off: float = 0.0) -> list[float]:
+def landing(prob: list[float], size: list[int], off: float = 0.0, spare=()) -> list[float]:
     """The at most two undecided set to 0 or 1 so that the words come nearest (``off``: words so
-    far above the target); ties go to the nearer number of documents."""
+    far above the target), together with documents of ``spare``, already decided, that may be decided
+    anew: ``LANDED`` in all, every choice of which is tried.  Ties go to the nearer number of
+    documents, then to fewer changed decisions."""
     open_ = [i for i, p in enumerate(prob) if EPS < p < 1 - EPS]
-    out = [float(round(p)) if i not in open_ else p for i, p in enumerate(prob)]
-
-    def cost(choice):
-        return (abs(off + sum((x - prob[i]) * size[i] for i, x in zip(open_, choice))),
-                abs(sum(x - prob[i] for i, x in zip(open_, choice))), choice)
-
-    for i, x in zip(open_, min(itertools.product((0, 1), repeat=len(open_)), key=cost)):
+    taken = set(open_)
+    out = [p if i in taken else float(round(p)) for i, p in enumerate(prob)]
+    free = open_ + [i for i in spare if i not in taken][:max(0, LANDED - len(open_))]
+    choice = (np.arange(1 << len(free))[:, None] >> np.arange(len(free))) & 1
+    moved = choice - np.array([out[i] for i in free])
+    words = np.abs(off + moved @ np.array([size[i] for i in free], float)).round(6)
+    changed = (moved[:, len(open_):] != 0).sum(axis=1)
+    best = np.lexsort((np.arange(len(choice)), changed, np.abs(moved.sum(axis=1)).round(6), words))[0]
+    for i, x in zip(free, choice[best]):
         out[i] = float(x)
     return out
 
@@ -99,8 +104,10 @@ def _level(rows: DataFrame, level: int, last: bool) -> DataFrame:
         pdf = pdf.sort_values(["_h", "doc_id", "size"], kind="stable", na_position="first")
         seed = f"{pdf['source'].iloc[0]}/{level}/{pdf['_block'].iloc[0]}"
         size = [int(x) for x in pdf["size"]]
-        prob = flight(pdf["_p"].tolist(), size, random.Random(zlib.crc32(seed.encode())))
-        pdf["_p"] = landing(prob, size) if last else prob
+        start = pdf["_p"].tolist()
+        prob = flight(start, size, random.Random(zlib.crc32(seed.encode())))
+        spare = [i for i in reversed(range(len(start))) if EPS < start[i] < 1 - EPS][:LANDED]
+        pdf["_p"] = landing(prob, size, spare=spare) if last else prob
         return pdf[cols]
 
     return rows.groupBy("source", "_block").applyInPandas(fly, rows.schema)

@@ -299,3 +299,16 @@ def test_json_layouts_look_at_all_messages(spark):
     for i in (1, 2):
         assert got[i]["layout"] == got[3]["layout"] and [tuple(t) for t in got[i]["turns"]] == [("assistant", ""), ("user", "hi")]
     assert all(got[i]["layout"] is None and got[i]["turns"] is None for i in (4, 5, 6, 7, 8))
+
+
+# -- landing of the mix ------------------------------------------------------------------------------
+
+
+def test_every_source_of_fifty_documents_meets_its_target(spark):
+    from cohortsmith.llm.common import read
+    from cohortsmith.llm.op4_cube_mixing import mix_sources
+    rows = mix_sources(read(spark, "/root/testdata/sf0.01", "documents")).toPandas()
+    per = rows.groupby("source").agg(n=("doc_id", "size"), taken=("taken", "sum"), target=("target", "first"))
+    off = ((per["taken"] - per["target"]).abs() / per["target"])[per["n"] >= 40]
+    assert len(off) >= 10 and off.max() < 0.01
+    assert (rows["taken"] <= 3 * rows["size"]).all()
