@@ -2,12 +2,15 @@
 
 Fitting, on a bounded sample of labelled rows (``MOST_TOXIC``, ``MOST_ORDINARY``):
 
-1. byte 6-grams are counted by document in both classes (a Spark aggregate); those that toxic
-   documents hold significantly more often (root of the likelihood ratio over ``LEAST_Z``) mark
-   the runs of text that set the class apart;
+1. copies and near copies in the sample count once (one row per class and least hash of the
+   three-word runs); byte 6-grams are counted by document in both classes (a Spark aggregate).
+   Those that toxic documents hold more often than their share of all grams explains (binomial
+   tail), at a false-discovery rate of ``FALSE_DISCOVERIES`` over all grams tested, mark the runs
+   of text that set the class apart; the cut follows the size of the sample;
 2. the ordinary dictionary holds the commonest words of ordinary documents; the toxic dictionary
    holds the same behind the commonest marked runs of toxic documents, so both compress plain
-   prose alike and differ where text reads like the toxic class;
+   prose alike and differ where text reads like the toxic class.  ``RUN_BYTES`` and ``WORD_BYTES``
+   are the sizes of the two parts;
 3. a document's windows, of three sizes, are compressed with both; the bytes that the toxic
    dictionary saves, in all by length, at most in a window, and shrunk by length, are calibrated
    to a probability by logistic regression on the sample, weighted to the class shares of all
@@ -24,6 +27,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,10 +37,10 @@ from .labelled import bounded, class_counts, training_labels
 
 GRAM = 6
 WINDOWS = (256, 1024, 4096)
-LEAST_Z = 6.5
-LEAST_DOCS = 5
+FALSE_DISCOVERIES = 0.05
 MOST_TOXIC, MOST_ORDINARY = 3000, 6000
-MOST_GRAMS, MOST_RUNS, MOST_WORDS = 5000, 600, 200
+RUN_BYTES, WORD_BYTES = 8192, 2048
+SHINGLE = 3
 FOLDS, HELD_OUT = 5, 0
 #: Lower-cased bytes: ASCII letters and all bytes of longer characters stay, the rest are blanks.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -77,6 +81,40 @@ def runs(b: bytes, marked: np.ndarray) -> set[bytes]:
     return out
 
 
+def signature(text: str) -> int:
+    """The least hash of the runs of three words: near copies mostly share it."""
+    words = plain(text).split()
+    return min((xxhash.xxh3_64_intdigest(b" ".join(words[i:i + SHINGLE])) >> 1 for i in range(len(words) - SHINGLE + 1)),
+               default=xxhash.xxh3_64_intdigest(text.encode("utf-8", "replace")) >> 1)
+
+
+def upper_tails(pairs: np.ndarray, share: float) -> np.ndarray:
+    """P(X >= n1) of X ~ Binomial(n1 + n0, share) for each pair (n1, n0)."""
+    top = int(pairs.sum(axis=1).max(initial=0))
+    log_factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, top + 1)))])
+    out = np.empty(len(pairs))
+    for i, (n1, n0) in enumerate(pairs):
+        k, j = n1 + n0, np.arange(n1, n1 + n0 + 1)
+        out[i] = np.exp(log_factorial[k] - log_factorial[j] - log_factorial[k - j]
+                        + j * np.log(share) + (k - j) * np.log1p(-share)).sum()
+    return np.minimum(out, 1.0)
+
+
+def discoveries(pairs: np.ndarray, grams_: np.ndarray, share: float, rate: float) -> np.ndarray:
+    """Which pairs (n1, n0), held by so many grams each, pass at this false-discovery rate
+    (step-up over all grams)."""
+    p = upper_tails(pairs, share)
+    order = np.argsort(p, kind="stable")
+    passed = p[order] <= rate * np.cumsum(grams_[order]) / max(1, grams_.sum())
+    return p <= (p[order][passed].max() if passed.any() else -1.0)
+
+
+def first_bytes(ordered: list[bytes], size: int) -> list[bytes]:
+    """As many of the first strings as ``size`` bytes hold, a separator each."""
+    total = np.cumsum([len(s) + 1 for s in ordered])
+    return ordered[:int(np.searchsorted(total, size, "right"))]
+
+
 def dictionary(runs_: list[bytes], words: list[bytes]) -> bytes:
     """Most common last, where references to it are shortest; words stand at the very end."""
     kept: list[bytes] = []
@@ -121,8 +159,8 @@ def saved(b: bytes, ordinary: zstandard.ZstdCompressor, toxic: zstandard.ZstdCom
     return out
 
 
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights (last: constant) by Newton's method."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights (last: constant) by Newton's method, a unit normal prior on each (x standardised)."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
     for _ in range(50):
@@ -148,7 +186,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         return {"constant": 1.0 if n.get(1) else 0.0}
     sample = bounded(train, F.col("y") == 1, MOST_TOXIC).unionByName(bounded(train, F.col("y") != 1, MOST_ORDINARY))
     texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")
-    texts = stored(texts.groupBy("text", "y").agg(F.min("doc_id").alias("doc_id")), "toxic-sample")  # copies count once
+    texts = texts.select("y", _signature()("text").alias("sig"), F.struct("doc_id", "text").alias("row"))
+    texts = stored(texts.groupBy("sig", "y").agg(F.min("row").alias("row")).select("y", "row.*"), "toxic-sample")
     size = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
@@ -164,18 +203,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             out = pd.concat(parts)
             yield _batch(out[out["g"] != 0])
 
-    per = texts.mapInArrow(count, "g long, n1 long, n0 long").groupBy("g").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-    per = per.filter(F.col("n1") >= LEAST_DOCS).filter(F.col("n1") * n0 > F.col("n0") * n1)
-
-    def part(k, m, p):
-        p = F.least(F.greatest(p, F.lit(1e-12)), F.lit(1 - 1e-12))
-        return k * F.log(p) + (m - k) * F.log(1 - p)
-
-    both = (F.col("n1") + F.col("n0")) / (n1 + n0)
-    ratio = 2 * (part(F.col("n1"), n1, F.col("n1") / n1) + part(F.col("n0"), n0, F.col("n0") / n0)
-                 - part(F.col("n1"), n1, both) - part(F.col("n0"), n0, both))
-    top = per.withColumn("z", F.sqrt(F.greatest(ratio, F.lit(0.0)))).filter(F.col("z") > LEAST_Z)
-    marked = np.sort(np.array([r["g"] for r in top.orderBy(F.desc("z"), "g").limit(MOST_GRAMS).collect()], np.int64))
+    per = stored(texts.mapInArrow(count, "g long, n1 long, n0 long").groupBy("g").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "toxic-grams")
+    total = per.agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")).first()
+    if not total["n1"] or not total["n0"]:
+        return {"constant": n[1] / (n[1] + n[0])}
+    tested = per.filter("n1 > 1")
+    pairs = tested.groupBy("n1", "n0").agg(F.count(F.lit(1)).alias("grams")).orderBy("n1", "n0").toPandas()  # of a bounded sample
+    found = pairs[discoveries(pairs[["n1", "n0"]].to_numpy(np.int64), pairs["grams"].to_numpy(np.int64),
+                              total["n1"] / (total["n1"] + total["n0"]), FALSE_DISCOVERIES)]
+    held = texts.sparkSession.createDataFrame([(int(a), int(b)) for a, b in zip(found["n1"], found["n0"])], "n1 long, n0 long")
+    marked = np.sort(np.array([r["g"] for r in tested.join(held, ["n1", "n0"]).select("g").collect()], np.int64))
 
     def pieces(it):
         for pdf in frames(it):
@@ -186,9 +223,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
                     found[int(y), s] = found.get((int(y), s), 0) + 1
             yield _batch(pd.DataFrame([(y, s, k) for (y, s), k in found.items()], columns=["y", "s", "k"]).astype({"y": "int32", "k": "int64"}))
 
-    counted = texts.mapInArrow(pieces, "y int, s binary, k long").groupBy("y", "s").agg(F.sum("k").alias("k")).filter(F.col("k") >= LEAST_DOCS)
-    first = lambda y, m: [bytes(r["s"]) for r in counted.filter(F.col("y") == y).orderBy(F.desc("k"), "s").limit(m).collect()]
-    toxic_runs, words = first(1, MOST_RUNS), first(0, MOST_WORDS)
+    counted = texts.mapInArrow(pieces, "y int, s binary, k long").groupBy("y", "s").agg(F.sum("k").alias("k")).filter("k > 1")
+    first = lambda y, m: first_bytes([bytes(r["s"]) for r in counted.filter(F.col("y") == y).orderBy(F.desc("k"), "s").limit(m).collect()], m)
+    toxic_runs, words = first(1, RUN_BYTES), first(0, WORD_BYTES)
     model = {"ordinary": dictionary([], words), "toxic": dictionary(toxic_runs, words)}
     rows = texts.select("y", _features(model)("text").alias("f")).collect()
     x, y = clipped(np.array([r["f"] for r in rows], float)), np.array([r["y"] for r in rows], float)
@@ -204,6 +241,14 @@ def _batch(pdf: pd.DataFrame):
     return pa.RecordBatch.from_pandas(pdf, preserve_index=False)
 
 
+def _signature():
+    @F.pandas_udf("long")
+    def signatures(texts: pd.Series) -> pd.Series:
+        return texts.map(signature)
+
+    return signatures
+
+
 def _features(model: dict):
     ordinary, toxic = model["ordinary"], model["toxic"]
 
