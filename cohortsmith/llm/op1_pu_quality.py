@@ -6,14 +6,17 @@ label.  With the class prior p, the risk is
     p E_pos[l(g)] + max(0, E_unl[l(-g)] - p E_pos[l(-g)])
 
 where l is the logistic loss; where the second term turns negative the step goes up it instead
-(non-negative correction).  Labels of the other class are used for one number only: the prior is
-estimated as the share of 1 among labelled training rows (``prior`` overrides it).
+(non-negative correction).  Labels of the other class are not used.  The prior comes from the
+unlabelled text itself (``prior`` overrides it): a first fit on half of the positives scores all
+documents, and the prior is the least ratio, over thresholds that at least half of the other
+positives exceed, of the share of all documents over a threshold to that of those positives.
 
 Features come from the whole text: shares of the byte classes, word and line repetition, word
-lengths; each scalar is also cut into quantile bins, so the linear score is additive in step
-functions.  Fitting uses bounded samples (``MOST_POSITIVE``, ``MOST_UNLABELLED``), scoring reads
-every text.  Defined cases: null and empty text has zero features and is scored by them; without
-trusted positives the score is the prior; an empty table gives an empty result; other input
+lengths; they are computed once and stored.  Each scalar is cut at quantiles over all documents,
+so the linear score is additive in step functions.  The risk is minimised over bounded samples
+(``MOST_POSITIVE``, ``MOST_UNLABELLED``); cut points, prior and scores come from every text.
+Defined cases: null and empty text has zero features and is scored by them; without
+trusted positives the score is the prior given, else 0.5; an empty table gives an empty result; other input
 columns are not read.
 """
 
@@ -28,11 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, stored, whole_text
-from .labelled import bounded, class_counts, training_labels
+from .labelled import bounded, training_labels
 
 MOST_POSITIVE, MOST_UNLABELLED = 4000, 6000
 FOLDS, HELD_OUT = 4, 2
 BINS = 8
+#: Quantiles at which features are cut, and the inverse of their error in rank.
+CUTS, ACCURACY = [0.01, 0.03, *np.linspace(0, 1, BINS + 1)[1:-1].tolist(), 0.97, 0.99], 4000
+#: Thresholds a unit of the score at which the prior is sought; positives needed for two halves.
+STEPS_A_UNIT, LEAST_HALF = 10, 20
 STEPS, RATE, RIDGE = 500, 0.05, 2e-4
 
 
@@ -64,10 +71,20 @@ def design(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([x[:, [j]] > e[None, :] for j, e in enumerate(edges) if len(e)], axis=1).astype(np.float32)
 
 
-def cut_points(x: np.ndarray) -> list[np.ndarray]:
-    q = np.linspace(0, 1, BINS + 1)[1:-1]
-    extra = [0.01, 0.03, 0.97, 0.99]
-    return [np.unique(np.quantile(x[:, j], [*q, *extra])) for j in range(x.shape[1])]
+def described(docs: DataFrame) -> DataFrame:
+    """doc_id and the features x of every text, stored."""
+    @F.pandas_udf("array<float>")
+    def rows(texts: pd.Series) -> pd.Series:
+        return pd.Series(list(matrix(texts)))
+
+    return stored(docs.select("doc_id", rows(whole_text()).alias("x")), "quality-features")
+
+
+def cut_points(rows: DataFrame) -> list[np.ndarray]:
+    """The distinct values of each feature at ``CUTS`` over all rows."""
+    width = len(features("", zstandard.ZstdCompressor(level=1)))
+    got = rows.agg(*[F.percentile_approx(F.col("x")[j], CUTS, ACCURACY).alias(f"q{j}") for j in range(width)]).first()
+    return [np.unique(np.array(q if q is not None else [], np.float32)) for q in got]
 
 
 def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float) -> np.ndarray:
@@ -87,43 +104,64 @@ def nn_pu(pos: np.ndarray, unl: np.ndarray, prior: float) -> np.ndarray:
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None) -> dict:
+def least_ratio(positive: np.ndarray, every: np.ndarray) -> float:
+    """The class prior from counts of positives and of all rows by ascending score bin."""
+    p, u = (np.cumsum(c[::-1])[::-1] / max(1, c.sum()) for c in (positive, every))
+    return float(np.clip((u[p >= 0.5] / p[p >= 0.5]).min(initial=0.99), 0.01, 0.99))
+
+
+def estimated_prior(rows: DataFrame, positives: DataFrame, pos: np.ndarray, half: np.ndarray, unl: np.ndarray, edges: list[np.ndarray]) -> float:
+    """The prior by scores of all rows; ``positives`` holds the ids of the half not fitted on."""
+    w = nn_pu(design(pos[half], edges), design(unl, edges), 0.5)
+    reach = 30 * STEPS_A_UNIT
+
+    @F.pandas_udf("int")
+    def place(x: pd.Series) -> pd.Series:
+        g = design(np.array(x.tolist(), np.float32), edges) @ w[:-1] + w[-1]
+        return pd.Series(np.clip(np.floor(g * STEPS_A_UNIT), -reach, reach - 1).astype(np.int32) + reach)
+
+    met = rows.join(F.broadcast(positives.withColumn("p", F.lit(1))), "doc_id", "left")
+    counts = met.select(place("x").alias("bin"), "p").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("p")).collect()
+    positive, every = np.zeros(2 * reach), np.zeros(2 * reach)
+    for r in counts:
+        positive[r["bin"]], every[r["bin"]] = r["p"], r["n"]
+    return least_ratio(positive, every)
+
+
+def fit(rows: DataFrame, labels: DataFrame, prior: float | None = None) -> dict:
+    """A small model from the stored features of all documents (``described``)."""
     train = stored(training_labels(labels, "quality", FOLDS, HELD_OUT), "quality-labels")
-    n = class_counts(train)
-    if prior is None:
-        prior = min(0.99, max(0.01, n.get(1, 0) / max(1, sum(n.values()))))
-    if not n.get(1):
-        return {"constant": prior}
+    unknown = 0.5 if prior is None else prior
     positive = bounded(train, F.col("y") == 1, MOST_POSITIVE).select("doc_id", F.lit(True).alias("p"))
-    ids = docs.select("doc_id").dropna().distinct()
+    ids = rows.select("doc_id").dropna().distinct()
     unlabelled = bounded(ids, fold("doc_id", FOLDS) != HELD_OUT, MOST_UNLABELLED).select("doc_id", F.lit(False).alias("p"))
     wanted = positive.unionByName(unlabelled).groupBy("doc_id").agg(F.collect_set("p").alias("p"))
-
-    @F.pandas_udf("array<float>")
-    def rows(texts: pd.Series) -> pd.Series:
-        return pd.Series(list(matrix(texts)))
-
-    # bounded: at most MOST_POSITIVE + MOST_UNLABELLED rows of 58 numbers reach the driver
-    got = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(wanted), "doc_id").select("p", rows("text").alias("x")).toPandas()
-    if not len(got):
-        return {"constant": prior}
+    # bounded: at most MOST_POSITIVE + MOST_UNLABELLED ids, 58 numbers each, reach the driver
+    got = rows.join(F.broadcast(wanted), "doc_id").select("doc_id", "p", "x").orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id", "x").toPandas()
+    known, other = got["p"].map(lambda p: True in p).to_numpy(bool), got["p"].map(lambda p: False in p).to_numpy(bool)
+    if not known.any() or not other.any():
+        return {"constant": unknown}
     x = np.array(got["x"].tolist(), np.float32)
-    pos, unl = got["p"].map(lambda p: True in p).to_numpy(), got["p"].map(lambda p: False in p).to_numpy()
-    if not pos.any() or not unl.any():
-        return {"constant": prior}
-    edges = cut_points(x[unl])
-    return {"edges": edges, "w": nn_pu(design(x[pos], edges), design(x[unl], edges), prior)}
+    pos, unl, edges = x[known], x[other], cut_points(rows)
+    if prior is None:
+        pos_ids = got.loc[known, "doc_id"]
+        codes = pd.factorize(pos_ids)[0]  # an id's rows are in one half
+        half = codes % 2 == 0 if codes.max() + 1 >= 2 * LEAST_HALF else np.ones(len(codes), bool)
+        rest = sorted({int(i) for i in pos_ids[~half if not half.all() else half]})
+        held = rows.sparkSession.createDataFrame([(i,) for i in rest], "doc_id long")
+        prior = estimated_prior(rows, held, pos, half, unl, edges)
+    return {"edges": edges, "w": nn_pu(design(pos, edges), design(unl, edges), prior), "prior": prior}
 
 
 def scorer(model: dict):
-    """A column function: text to the probability of good quality."""
+    """A column function: stored features to the probability of good quality."""
     if "constant" in model:
-        return lambda text: F.lit(model["constant"])
+        return lambda x: F.lit(model["constant"])
     edges, w = model["edges"], model["w"]
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        g = design(matrix(texts), edges) @ w[:-1] + w[-1]
+    def score(x: pd.Series) -> pd.Series:
+        g = design(np.array(x.tolist(), np.float32), edges) @ w[:-1] + w[-1]
         return pd.Series(1 / (1 + np.exp(-np.clip(g, -30, 30))), dtype=float)
 
     return score
@@ -131,6 +169,6 @@ def scorer(model: dict):
 
 def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, prior: float | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    score = scorer(fit(docs, labels, prior))
-    out = docs.select("doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), score(whole_text()).alias("score"))
+    rows = described(docs)
+    out = rows.select("doc_id", (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), scorer(fit(rows, labels, prior))("x").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
