@@ -9,7 +9,8 @@ where l is the logistic loss; where the second term turns negative the step goes
 (non-negative correction).  Labels of the other class are not used.  The prior comes from the
 unlabelled text itself (``prior`` overrides it): a first fit on half of the positives scores all
 documents, and the prior is the least ratio, over thresholds that at least half of the other
-positives exceed, of the share of all documents over a threshold to that of those positives.
+positives exceed, of the share of documents over a threshold to that of those positives.  Rows
+fitted on are left out of both shares and added to the result as the positives they are.
 
 Features come from the whole text: shares of the byte classes, word and line repetition, word
 lengths; they are computed once and stored.  Each scalar is cut at quantiles over all documents,
@@ -111,7 +112,7 @@ def least_ratio(positive: np.ndarray, every: np.ndarray) -> float:
 
 
 def estimated_prior(rows: DataFrame, positives: DataFrame, pos: np.ndarray, half: np.ndarray, unl: np.ndarray, edges: list[np.ndarray]) -> float:
-    """The prior by scores of all rows; ``positives`` holds the ids of the half not fitted on."""
+    """The prior by scores of all rows; ``positives`` holds the trusted ids, ``fitted`` those fitted on."""
     w = nn_pu(design(pos[half], edges), design(unl, edges), 0.5)
     reach = 30 * STEPS_A_UNIT
 
@@ -120,12 +121,16 @@ def estimated_prior(rows: DataFrame, positives: DataFrame, pos: np.ndarray, half
         g = design(np.array(x.tolist(), np.float32), edges) @ w[:-1] + w[-1]
         return pd.Series(np.clip(np.floor(g * STEPS_A_UNIT), -reach, reach - 1).astype(np.int32) + reach)
 
-    met = rows.join(F.broadcast(positives.withColumn("p", F.lit(1))), "doc_id", "left")
-    counts = met.select(place("x").alias("bin"), "p").groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("p")).collect()
-    positive, every = np.zeros(2 * reach), np.zeros(2 * reach)
+    met = rows.join(F.broadcast(positives), "doc_id", "left").select(place("x").alias("bin"), "fitted")
+    counts = met.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.count_if("fitted").alias("a"), F.count_if(~F.col("fitted")).alias("p")).collect()
+    positive, every, n_fitted = np.zeros(2 * reach), np.zeros(2 * reach), 0
     for r in counts:
-        positive[r["bin"]], every[r["bin"]] = r["p"], r["n"]
-    return least_ratio(positive, every)
+        positive[r["bin"]], every[r["bin"]] = r["p"], r["n"] - r["a"]
+        n_fitted += r["a"]
+    if not positive.sum():  # too few positives for two halves
+        return 0.5
+    n = every.sum()
+    return float(np.clip((least_ratio(positive, every) * n + n_fitted) / (n + n_fitted), 0.01, 0.99))
 
 
 def fit(rows: DataFrame, labels: DataFrame, prior: float | None = None) -> dict:
@@ -147,8 +152,7 @@ def fit(rows: DataFrame, labels: DataFrame, prior: float | None = None) -> dict:
         pos_ids = got.loc[known, "doc_id"]
         codes = pd.factorize(pos_ids)[0]  # an id's rows are in one half
         half = codes % 2 == 0 if codes.max() + 1 >= 2 * LEAST_HALF else np.ones(len(codes), bool)
-        rest = sorted({int(i) for i in pos_ids[~half if not half.all() else half]})
-        held = rows.sparkSession.createDataFrame([(i,) for i in rest], "doc_id long")
+        held = rows.sparkSession.createDataFrame(sorted({(int(i), bool(h)) for i, h in zip(pos_ids, half)}), "doc_id long, fitted boolean")
         prior = estimated_prior(rows, held, pos, half, unl, edges)
     return {"edges": edges, "w": nn_pu(design(pos, edges), design(unl, edges), prior), "prior": prior}
 
