@@ -14,10 +14,13 @@ Candidates, without all pairs of any bucket:
   hold most (the original of a group of copies, as a rule), which joins the bulk of each group at
   one pair per key;
 * in every bucket, keys that are not in the leader's class are then paired with the keys of other
-  classes there, where lengths and shingle histograms of 32 and 256 bins (exact bounds on the
-  matches: a difference in a bin is a shingle that no alignment can match) allow a link.  So no
-  two keys that share a bucket and could be linked stay untested unless they are in one class
-  already.
+  classes there.  Two linked keys share 0.8 of either's shingles, so in any order of the shingles
+  they share one of the first fifth (and one more) of both: the join key is the bucket and such a
+  shingle, rarest first.  Texts that share a common template only meet in its bucket, but not on
+  its shingles, which are their commonest.  Lengths, places in the order and shingle histograms
+  (exact bounds on the matches: a difference in a bin is a shingle that no alignment can match)
+  thin the pairs.  So no two keys that share a bucket and could be linked stay untested unless
+  they are in one class already.
 
 Classes are the connected components of the links.  Defined cases: null text counts as empty;
 texts without words are one class; texts under five words are one shingle; of a class the row
@@ -32,6 +35,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +45,8 @@ from .components import components
 
 WORDS = 5
 BANDS, SAMPLE = 20, 4
-BINS, FEW, MOST_IN_BIN = 256, 32, 127
+BINS, MOST_IN_BIN = 256, 127
+COUNTERS = 1 << 20  #: shingles are ordered by counts in so many bins; any order finds all pairs
 NUM, DEN = 4, 5  # similarity 4/5
 _A = np.uint64(0x9E3779B97F4A7C15)
 _SEEDS = np.random.default_rng(20).integers(1, 2**63, size=(BANDS, 2), dtype=np.uint64) | np.uint64(1)
@@ -78,11 +83,26 @@ def occurrences(s: np.ndarray) -> np.ndarray:
     return out
 
 
+def labelled(s: np.ndarray) -> np.ndarray:
+    """The shingles, each hashed with the number of times it stood before: all are distinct."""
+    return _mix(s + occurrences(s).astype(np.uint64) * _A) if len(s) else s
+
+
+def rarest(s: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, labelled shingle) of the first fifth of the shingles and one more, rarest first; those
+    that no other text has (their bin counts one) are left out."""
+    x = labelled(s)
+    c = counts[(x & np.uint64(len(counts) - 1)).astype(np.int64)]
+    order = np.lexsort((x, c))[:len(x) - -(-NUM * len(x) // DEN) + 1]
+    at = np.flatnonzero(c[order] > 1)
+    return at.astype(np.int32), x[order[at]].view(np.int64)
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """One hash per band of the least labelled shingles in text order."""
     if not len(s):
         return np.zeros(0, np.int64)
-    x = _mix(s + occurrences(s).astype(np.uint64) * _A)
+    x = labelled(s)
     out = np.empty(BANDS, np.uint64)
     for j in range(BANDS):
         r = (x ^ _SEEDS[j, 0]) * _SEEDS[j, 1]
@@ -142,17 +162,20 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return matched(a, b, total * (DEN - NUM) // (NUM + DEN)) >= need
 
 
+_RARE = pa.schema([("key", pa.binary()), ("m", pa.int32()), ("places", pa.list_(pa.int32())), ("rare", pa.list_(pa.int64()))])
+
+
 def _signatures(docs: DataFrame) -> DataFrame:
     """doc_id, h, key, m, bands, bins of every row."""
-    @F.pandas_udf("key binary, m int, bands array<long>, few array<byte>, bins array<byte>")
+    @F.pandas_udf("key binary, m int, bands array<long>, bins array<byte>")
     def signature(texts: pd.Series) -> pd.DataFrame:
         out = []
         with np.errstate(over="ignore"):
             for t in texts:
                 w = word_hashes(t)
                 s = shingles(w)
-                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s), histogram(s, FEW), histogram(s, BINS)))
-        return pd.DataFrame(out, columns=["key", "m", "bands", "few", "bins"])
+                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s), histogram(s, BINS)))
+        return pd.DataFrame(out, columns=["key", "m", "bands", "bins"])
 
     t = docs.select("doc_id", whole_text().alias("text"))
     return t.select("doc_id", F.xxhash64("text").alias("h"), signature("text").alias("s")).select("doc_id", "h", "s.*")
@@ -163,7 +186,6 @@ def _verified(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
     side = lambda k: seqs.select(F.col("key").alias(k), F.col("seq").alias(f"_{k}"))
 
     def run(it):
-        import pyarrow as pa
         with np.errstate(over="ignore"):
             for pdf in frames(it):
                 hit = [linked(*(shingles(np.frombuffer(x, np.uint32)) for x in p)) for p in zip(pdf["_a"], pdf["_b"])]
@@ -172,11 +194,64 @@ def _verified(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary")
 
 
+def _candidates(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
+    """Pairs (a, b) of keys of different classes that share a bucket and one of both's rarest shingles.
+
+    ``named`` has the buckets' keys with their class (``label``) and that of the bucket's leader (``top``)."""
+    spark = named.sparkSession
+    others = named.filter("label <> top").select("bucket", "n").distinct()
+    inside = stored(join_groups(named.drop("n"), others, "bucket", "n", total)
+                    .select("bucket", "key", F.xxhash64("label").alias("label"), (F.col("label") != F.col("top")).alias("other")), "mixed")
+    texts = stored(seqs.join(inside.select("key").distinct(), "key"), "mixed-sequences")
+
+    def count(it):
+        with np.errstate(over="ignore"):
+            seen = np.zeros(COUNTERS, np.int64)
+            for pdf in frames(it):
+                of = [labelled(shingles(np.frombuffer(x, np.uint32))) for x in pdf["seq"]]
+                seen += np.bincount((np.concatenate(of) & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["bin", "c"])
+
+    # at most one row per bin reaches the driver, whatever the input
+    found = texts.mapInArrow(count, "bin long, c long").groupBy("bin").agg(F.sum("c").alias("c")).toArrow()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found["bin"].to_numpy()] = found["c"].to_numpy()
+    order = spark.sparkContext.broadcast(counts)
+
+    def first(it):
+        with np.errstate(over="ignore"):
+            for pdf in frames(it):
+                out = []
+                for key, seq in zip(pdf["key"], pdf["seq"]):
+                    s = shingles(np.frombuffer(seq, np.uint32))
+                    out.append((key, len(s), *rarest(s, order.value)))
+                yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=_RARE.names), schema=_RARE, preserve_index=False)
+
+    rare = texts.mapInArrow(first, "key binary, m int, places array<int>, rare array<long>").filter("size(rare) > 0")
+    met = (inside.join(rare, "key").select("bucket", "key", "label", "other", "m", F.explode(F.arrays_zip("places", "rare")).alias("x"))
+                 .select(F.xxhash64("bucket", "x.rare").alias("meet"), "key", "label", "other", "m", F.col("x.places").alias("at")))
+    left = met.filter("other").select("meet", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"), F.col("at").alias("ia"))
+    right = met.select("meet", F.col("key").alias("b"), F.col("label").alias("lb"), F.col("other").alias("ob"), F.col("m").alias("mb"), F.col("at").alias("ib"))
+    return (left.join(right, "meet").filter("la <> lb and (not ob or a < b)")
+                # what the two share from their first common shingle on
+                .filter(f"least(ma - ia, mb - ib) * {NUM + DEN} >= (ma + mb) * {NUM}")
+                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+def _bounded(pairs: DataFrame, size: DataFrame) -> DataFrame:
+    """The pairs whose shingle histograms allow a link."""
+    side = lambda k: size.select(F.col("key").alias(k), F.col("m").alias(f"m{k}"), F.col("bins").alias(f"h{k}"))
+    apart = F.aggregate(F.zip_with("ha", "hb", lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda n, d: n + d)
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+                 .filter(apart * (NUM + DEN) <= (F.col("ma") + F.col("mb")) * (DEN - NUM)).select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), class_id, class_size, kept of every row."""
     rows = stored(_signatures(docs), "signatures")
     keys = rows.groupBy("key").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "h")).alias("rep"),
-                                   *[F.first(c).alias(c) for c in ("m", "bands", "few", "bins")])
+                                   *[F.first(c).alias(c) for c in ("m", "bands", "bins")])
     keys = stored(keys, "keys")
     bands = keys.select("key", F.explode("bands").alias("bucket"))
     total = keys.count() * BANDS
@@ -206,22 +281,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     top = (leaders.select("bucket", F.col("leader.key").alias("key"), "n").join(label.withColumnRenamed("v", "key"), "key", "left")
                   .select("bucket", F.coalesce("label", "key").alias("top"), "n"))
     named = stored(join_groups(named.drop("n"), top, "bucket", "n", total).select("bucket", "key", "label", "top", "n"), "named")
-    others = named.filter("label <> top")
-    mixed = others.select("bucket", "n").distinct()
-    size = keys.select("key", "m", "few", "bins")
-    left = others.join(size, "key").select("bucket", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"),
-                                           F.col("few").alias("fa"), F.col("bins").alias("ha"))
-    right = (join_groups(named.drop("n"), mixed, "bucket", "n", total).join(size, "key")
-                  .select("bucket", F.col("key").alias("b"), F.col("label").alias("lb"), "top", F.col("m").alias("mb"), F.col("few").alias("fb"), F.col("bins").alias("hb")))
-
-    def near(x, y):
-        apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.abs(p.cast("int") - q.cast("int"))), F.lit(0), lambda n, d: n + d)
-        return apart * (NUM + DEN) <= (F.col("ma") + F.col("mb")) * (DEN - NUM)
-
-    rest = (left.join(right, "bucket").filter("la <> lb and (lb = top or a < b)")
-                .filter("least(ma, mb) * 5 >= greatest(ma, mb) * 4")
-                .filter(near("fa", "fb")).filter(near("ha", "hb"))
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    rest = _bounded(_candidates(named, seqs, total), keys.select("key", "m", "bins"))
     more = _verified(rest, seqs)
     between = (more.join(label.select(F.col("v").alias("a"), F.col("label").alias("la")), "a", "left")
                    .join(label.select(F.col("v").alias("b"), F.col("label").alias("lb")), "b", "left")

@@ -224,6 +224,43 @@ def test_near_classes_equal_brute_force(spark, texts):
     assert got == {i: root(i) for i in ids}
 
 
+def test_linked_texts_share_one_of_their_rarest_shingles():
+    r, met = random.Random(21), 0
+    counts = np.array([r.randrange(1, 5) for _ in range(64)], np.int64) + 1
+    with np.errstate(over="ignore"):
+        for kinds in (2, 4, 30):
+            for _ in range(150):
+                words = [r.randrange(kinds) for _ in range(r.randint(1, 80))]
+                other = [w for w in words if r.random() > .04] + [r.randrange(kinds) for _ in range(r.randrange(3))]
+                a, b = (op6.shingles(np.array(x, np.uint32)) for x in (words, other))
+                if len(a) and len(b) and op6.linked(a, b):
+                    (ia, xa), (ib, xb) = op6.rarest(a, counts), op6.rarest(b, counts)
+                    both = set(xa.tolist()) & set(xb.tolist())
+                    assert both
+                    # the bound on what they share from the first common one on
+                    i, j = (min(at for at, x in zip(ats.tolist(), xs.tolist()) if x in both) for ats, xs in ((ia, xa), (ib, xb)))
+                    assert 9 * min(len(a) - i, len(b) - j) >= 4 * (len(a) + len(b))
+                    met += 1
+    assert met > 100
+
+
+def test_template_texts_meet_no_pairs(spark):
+    """Texts of one template share its bucket, but are no candidates of each other; the few near copies among them are."""
+    r = random.Random(5)
+    template = [f"t{r.randrange(10**6)}" for _ in range(150)]
+    texts = [template[:75] + [f"u{r.randrange(10**7)}" for _ in range(64)] + template[75:] for _ in range(300)]
+    near = {300 + i: [*t[:100], "other", *t[101:]] for i, t in enumerate(texts[:20])}
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in [*enumerate(texts), *near.items()]], "doc_id long, text string")
+    pairs = []
+    whole, op6._bounded = op6._bounded, lambda p, size: pairs.append(p.count()) or whole(p, size)
+    try:
+        got = {x["doc_id"]: (x["class_id"], x["class_size"]) for x in op6.near_duplicates(docs).collect()}
+    finally:
+        op6._bounded = whole
+    assert got == {i: (i - 300 if i >= 300 else i, 2 if i < 20 or i >= 300 else 1) for i in got} and len(got) == 320
+    assert pairs[0] <= 100
+
+
 def test_components(spark):
     r = random.Random(9)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(250)]
