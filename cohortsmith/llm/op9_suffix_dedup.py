@@ -7,22 +7,25 @@ window's bytes alone, so equal windows have their anchors at the same place, and
 these anchors share at least the 200 bytes that follow.
 
 1. Every task finds its anchors and counts their 200-byte prefixes by hash; prefixes met twice
-   set a bit in a bitmap of fixed size (``BITMAP_BITS``).  A prefix met once cannot lie in a
-   repeated window; a false hit costs time only.
+   set a bit in a bitmap, whose size follows their number up to ``MOST_BITS``.  A prefix met once
+   cannot lie in a repeated window; a false hit costs time only.
 2. The suffixes of the marked anchors (as far as their windows reach, with the bytes before the
    anchor that their windows cover) are sorted in each task into runs, one per bucket of the
    prefix, equal ones written once, front-coded: the length shared with the suffix before, and
    the rest.
-3. Each bucket's runs are merged by a loser tree that keeps, for every run's head, the prefix it
+3. There are as many buckets as give each about ``BUCKET`` anchors.  Each bucket's runs are merged by a loser tree that keeps, for every run's head, the prefix it
    shares with the last output.  Heads with different such lengths are ordered without reading a
    byte; equal ones are compared from that length on.  The merged order and its shared lengths
    give the groups of anchors that share 200 bytes.
 4. Within these groups, the windows that occur twice are found by rolling hashes, which settles
    the exact borders; a window's bytes go back to its document as an interval.
 5. A prefix met more than ``HOT`` times would make one bucket large.  Its anchors (marked in a
-   second bitmap) leave the merge: their windows are hashed one by one to 128 bits and counted by
-   Spark, whose aggregate combines on the map side, so no group meets in one task.  Both ways are
-   exact, so a false mark costs time only.
+   second bitmap) leave the merge, and Spark's aggregate, which combines on the map side, counts
+   their strings, so no group meets in one task.  The windows of an anchor are taken ``SPAN`` at a
+   time by their distance from it: where the whole stretch that such windows cover occurs twice,
+   all of them do; where the part that all of them share occurs once, none does.  Windows are
+   counted one by one (by 128-bit hashes) only where neither holds, at the borders of passages.
+   Both ways are exact, so a false mark costs time only.
 
 Defined cases: null text counts as empty; texts under 400 bytes keep all; matches never cross
 documents but do lie within one, overlaps included; repeated rows are repeats of each other; an
@@ -42,11 +45,13 @@ from .common import frames, join_groups, stored, whole_text
 
 LENGTH = 400
 REACH = LENGTH // 2
+PART_BYTES = 4096  # of one bitmap of Spark's
 GRAM = 8
 BLOCK = 1 << 20
 PLACE_BITS = 21  # places in a block and the window after it
-BITMAP_BITS = 1 << 27
-HOT, HOT_BITS = 50_000, 1 << 24
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30  #: of a bitmap, which has 16 bits a prefix between them
+BUCKET = 50_000
+HOT, SPAN = 50_000, 16
 _A, _B = 0x9E3779B97F4A7C15 | 1, np.random.default_rng(9).integers(1, 2**63, 256, dtype=np.uint64)
 
 
@@ -238,44 +243,95 @@ def _counts(it):
         yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(c)], names=["g", "c"])
 
 
-def _bitmap(prefixes: DataFrame, size: int) -> np.ndarray:
-    """One bit per prefix hash modulo ``size``, in 32-bit words: all that the driver holds."""
-    bit = F.pmod("g", F.lit(size))
-    words = (prefixes.groupBy(F.shiftright(bit, 5).alias("w"))
-                     .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 32).cast("int"))).alias("v")).toPandas())
-    bits = np.zeros(size // 32, np.uint32)
-    bits[words["w"].to_numpy(np.int64)] = words["v"].to_numpy(np.int64).astype(np.uint32)
+def _bitmap(prefixes: DataFrame, n: int) -> np.ndarray:
+    """One bit per prefix hash modulo the bitmap's size, for ``n`` prefixes: all that the driver holds."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * n - 1).bit_length())) if n else LEAST_BITS
+    bit = F.pmod("g", F.lit(size)) + 1  # Spark counts bits from 1
+    parts = (prefixes.groupBy(F.bitmap_bucket_number(bit).alias("part"))
+                     .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")).toArrow())
+    bits = np.zeros(size // 8, np.uint8)
+    for part, found in zip(parts["part"].to_pylist(), parts["bits"]):
+        at = (part - 1) * PART_BYTES
+        bits[at:at + PART_BYTES] = np.frombuffer(found.as_buffer(), np.uint8)
     return bits
 
 
 def _marked(bits: np.ndarray, g: int) -> int:
-    k = g % (len(bits) * 32)
-    return int(bits[k >> 5]) >> (k & 31) & 1
+    k = g % (len(bits) * 8)
+    return int(bits[k >> 3]) >> (k & 7) & 1
 
 
-_WINDOWS = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64())])
+_STRETCHES = pa.schema([("core", pa.binary()), ("hull", pa.binary()), ("doc_id", pa.int64()), ("h", pa.int64()),
+                        ("first", pa.int64()), ("last", pa.int64()), ("windows", pa.binary())])
+_STRETCHES_SQL = "core binary, hull binary, doc_id long, h long, first long, last long, windows binary"
 
 
-def _windows(hot):
-    """(128-bit hash, document, start) of the windows of hot anchors."""
+def stretches(data: bytes, p: int, s1: int, s2: int):
+    """(hash of what the windows share, hash of all they cover, first start, last start) of the windows
+    of anchor ``p``, ``SPAN`` at a time by their distance from it.
+
+    The hull is None where windows with other anchors lie in the stretch: they are not in question."""
+    for k in range((p - s2) // SPAN * SPAN, p - s1 + 1, SPAN):
+        lo, hi = p - k - SPAN + 1, p - k  # starts of the stretch, wherever their anchors are
+        core = xxhash.xxh3_128_digest(data[hi:lo + LENGTH], k + 1)
+        hull = xxhash.xxh3_128_digest(data[lo:hi + LENGTH], k + 1) if s1 <= lo and hi <= s2 else None
+        yield core, hull, max(lo, s1), min(hi, s2)
+
+
+def _stretches(hot):
     def run(it):
         marks = hot.value
         for pdf in frames(it):
             rows = []
             for doc_id, h, text in zip(pdf["doc_id"], pdf["h"].tolist(), pdf["text"]):
                 data = text.encode("utf-8")
-                for g, _, s1, s2 in anchors(data):
+                for g, p, s1, s2 in anchors(data):
                     if _marked(marks, g):
-                        for s in range(s1, s2 + 1):
-                            w = np.frombuffer(xxhash.xxh3_128_digest(data[s:s + LENGTH]), np.int64)
-                            rows.append((int(w[0]), int(w[1]), None if pd.isna(doc_id) else int(doc_id), h, s))
-                if len(rows) > 100_000:
-                    yield _rows(rows, _WINDOWS)
-                    rows = []
-            yield _rows(rows, _WINDOWS)
+                        rows += [(core, hull, None if pd.isna(doc_id) else int(doc_id), h, a, z, data[a:z + LENGTH])
+                                 for core, hull, a, z in stretches(data, p, s1, s2)]
+                    if len(rows) > 10_000:
+                        yield _rows(rows, _STRETCHES)
+                        rows = []
+            yield _rows(rows, _STRETCHES)
     return run
 
 
+def _windows(it):
+    """(128-bit hash, document, start) of the windows of undecided stretches."""
+    for pdf in frames(it):
+        rows = []
+        for r in pdf.itertuples(index=False):
+            doc_id = None if pd.isna(r.doc_id) else int(r.doc_id)
+            rows += [(xxhash.xxh3_128_digest(r.windows[i:i + LENGTH]), doc_id, r.h, r.first + i, r.times) for i in range(r.last - r.first + 1)]
+        yield _rows(rows, _WINDOWS)
+
+
+_WINDOWS = pa.schema([("w", pa.binary()), ("doc_id", pa.int64()), ("h", pa.int64()), ("start", pa.int64()), ("times", pa.int32())])
+
+
+def _twice(rows: DataFrame, key: str, times=None) -> DataFrame:
+    """The rows whose ``key`` (not null) is met more than once."""
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg((F.count(F.lit(1)) if times is None else times).alias("n")).filter("n > 1")
+    return join_groups(rows, counts, key, "n", rows.count()).drop("n")
+
+
+def hot_spans(t: DataFrame, hot) -> DataFrame:
+    """doc_id, h, start, end: the intervals of repeated windows of the anchors marked in ``hot``."""
+    end = lambda c: (F.col(c) + LENGTH).alias("end")
+    found = stored(t.mapInArrow(_stretches(hot), _STRETCHES_SQL).withColumn("place", F.monotonically_increasing_id()), "hot-stretches")
+    slim = found.drop("windows")
+    whole = stored(_twice(slim, "hull"), "hot-whole")
+    rest = stored(_twice(slim, "core").select("place", "core").join(whole.select("place"), "place", "left_anti"), "hot-open")
+    # a window of an undecided stretch may stand in a repeated one: one of each kind is counted, twice
+    kinds = whole.groupBy("hull").agg(F.min(F.struct("place", "core")).alias("x")).select("x.*").join(rest.select("core").distinct(), "core", "left_semi")
+    wanted = rest.select("place", F.lit(1).alias("times")).unionByName(kinds.select("place", F.lit(2).alias("times")))
+    windows = (wanted.join(found.select("place", "doc_id", "h", "first", "last", "windows"), "place")
+               .select("doc_id", "h", "first", "last", "windows", "times").mapInArrow(_windows, "w binary, doc_id long, h long, start long, times int"))
+    windows = stored(windows, "hot-windows")
+    return (whole.select("doc_id", "h", F.col("first").alias("start"), end("last"))
+            .unionByName(_twice(windows, "w", F.sum("times")).filter("times = 1").select("doc_id", "h", "start", end("start"))))
+
+
 def _rows(rows: list[tuple], schema) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cols, schema)], schema=schema)
@@ -337,21 +393,15 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     t = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     met = t.select("text").mapInArrow(_counts, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")).filter("c > 1")
     met = stored(met, "prefixes")
-    bits = spark.sparkContext.broadcast(_bitmap(met, BITMAP_BITS))
     often = met.filter(F.col("c") > HOT)
-    marks = _bitmap(often, HOT_BITS)
-    hot = spark.sparkContext.broadcast(marks)
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    all_, heavy = (x.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("c"), F.lit(0)).alias("c")).first() for x in (met, often))
+    bits = spark.sparkContext.broadcast(_bitmap(met, all_["n"]))
+    hot = spark.sparkContext.broadcast(_bitmap(often, heavy["n"]))
+    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), (all_["c"] - heavy["c"]) // BUCKET)
     t = t.withColumn("h", F.xxhash64("text"))
     runs = t.mapInArrow(_runs(bits, hot, buckets), _RUN_SQL)
     spans = runs.groupBy("bucket").applyInPandas(_merge, "doc_id long, h long, start long, end long")
-    if not marks.any():
-        return spans
-    windows = stored(t.mapInArrow(_windows(hot), "w1 long, w2 long, doc_id long, h long, start long"), "hot-windows")
-    counts = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    key = F.struct("w1", "w2")
-    again = join_groups(windows.withColumn("w", key), counts.select(key.alias("w"), "n"), "w", "n", windows.count())
-    return spans.unionByName(again.select("doc_id", "h", "start", (F.col("start") + LENGTH).alias("end")))
+    return spans.unionByName(hot_spans(t, hot)) if heavy["n"] else spans
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -380,9 +430,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     removed = F.coalesce(maximal("spans"), F.array().cast("array<struct<start:bigint,end:bigint>>"))
     raw = F.col("text").cast("binary")
     t = t.select("doc_id", raw.alias("raw"), F.octet_length("text").cast("long").alias("n_bytes"), removed.alias("removed"))
-    # what is left: the stretches between the removed ones
-    left = F.transform(F.concat(F.array(F.lit(0).cast("long")), F.transform("removed", lambda r: r["end"])),
-                       lambda at, i: F.substring("raw", (at + 1).cast("int"), (F.coalesce(F.get(
-                           F.transform("removed", lambda r: r["start"]), i), F.col("n_bytes")) - at).cast("int")))
-    kept = F.aggregate(left, F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, x))
+    # what is left: the stretches between the removed ones, joined as hex digits (binary has no array_join)
+    zero = F.array(F.lit(0).cast("long"))
+    left = F.zip_with(F.concat(zero, "removed.end"), F.concat("removed.start", F.array("n_bytes")),
+                      lambda at, to: F.hex(F.substring("raw", (at + 1).cast("int"), (to - at).cast("int"))))
+    kept = F.unhex(F.array_join(left, ""))
     return t.select("doc_id", "n_bytes", "removed", F.when(F.size("removed") == 0, F.col("raw")).otherwise(kept).alias("kept"))

@@ -359,6 +359,28 @@ def test_substring_removal_equals_brute_force(spark, texts, monkeypatch, hot):
         assert len(r["removed"]) == len(bytes(cover[i]).replace(b"\0", b" ").split())
 
 
+@pytest.mark.parametrize("span", [1, 16, 64])
+def test_hot_passages_cut_anywhere_equal_brute_force(spark, monkeypatch, span):
+    """One passage, cut at all places, whole and in copies: stretches that are repeated whole meet
+    others that share only some of their windows."""
+    monkeypatch.setattr(op9, "HOT", 1)
+    monkeypatch.setattr(op9, "SPAN", span)
+    monkeypatch.setattr(op9, "BLOCK", 700)
+    r = random.Random(17)
+    word = lambda: "".join(r.choice("abcdefgh \u00e9") for _ in range(r.randint(2, 9)))
+    passage = " ".join(word() for _ in range(160))
+    texts = ["ab" * 700, passage, passage]
+    for _ in range(60):
+        a = r.randrange(len(passage) - 380)
+        z = r.randint(a + 370, len(passage))
+        texts.append(" ".join(word() for _ in range(r.randrange(90))) + passage[a:z] + " ".join(word() for _ in range(r.randrange(90))))
+    texts.append(texts[10])
+    raw = {i: t.encode() for i, t in enumerate(texts)}
+    cover = repeats_by_hand(raw)
+    got = {x["doc_id"]: bytes(x["kept"]) for x in op9.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: bytes(b for b, c in zip(raw[i], cover[i]) if not c) for i in raw}
+
+
 def test_layouts_are_told_by_their_paths(spark):
     records = [('{"messages":[{"role":"user","content":"a"},{"role":"assistant","content":"b"}],"id":3}', "messages", [("user", "a"), ("assistant", "b")]),
                ('{"conversations":[{"from":"human","value":"a"},{"from":"gpt","value":"b"}]}', "sharegpt", [("user", "a"), ("assistant", "b")]),
