@@ -127,20 +127,24 @@ def hospital_diagnoses(hosp: DataFrame, codes: DataFrame, *, exclude=("hypertens
     """Hospital ICD-10 events matched by code *prefix* (``ICD LIKE prefix%``).
 
     ``codes``: icd10 lists named ``icd10_<concept>``; the concept keeps the bare name.
+    The lists are bounded by the classification, whatever the number of events, so they are
+    broadcast: the size of a filtered catalogue is known only after the events were exchanged.
     Output: patid, concept, date, code (full ICD), prefix, d_order."""
     c = (codes.select(F.regexp_replace("concept", "^icd10_", "").alias("concept"),
                       F.col("code").alias("prefix"))
               .filter(~F.col("concept").isin(list(exclude))))
-    j = prefix_join(hosp, "ICD", c, "prefix")
+    j = prefix_join(hosp, "ICD", F.broadcast(c), "prefix")
     return j.select("patid", "concept", F.col("epistart").alias("date"),
                     F.col("ICD").alias("code"), "prefix", "d_order")
 
 
 def hospital_procedures(proc: DataFrame, codes: DataFrame) -> DataFrame:
-    """Hospital OPCS-4 events, equi join on differing key names (OPCS = opcs4 code)."""
+    """Hospital OPCS-4 events, equi join on differing key names (OPCS = opcs4 code).
+
+    The lists are broadcast, as those of ``hospital_diagnoses``."""
     c = codes.select(F.regexp_replace("concept", "^opcs4_", "").alias("concept"),
                      F.col("code").alias("opcs4"))
-    j = proc.join(c, proc["OPCS"] == F.col("opcs4"))
+    j = proc.join(F.broadcast(c), proc["OPCS"] == F.col("opcs4"))
     return j.select("patid", "concept", F.col("evdate").alias("date"), F.col("OPCS").alias("code"))
 
 

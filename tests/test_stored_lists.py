@@ -190,6 +190,15 @@ def test_names_and_provenance(spark, build):
     assert row["options"]["index_date"] == str(IDX)
 
 
+# -- exchanges of the events ------------------------------------------------------------------
+
+
+def test_hospital_lists_are_broadcast(spark, build, no_broadcast):
+    for key in ("hosp_prefix_join", "hosp_procedures"):
+        p = plan(registry.QUERIES[key](spark, SF))
+        assert p.count("Exchange hashpartitioning") == 2 and "BroadcastHashJoin" in p, key  # lines and orders, once each
+
+
 # -- index dates --------------------------------------------------------------------------------
 
 
