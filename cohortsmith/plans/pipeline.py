@@ -83,10 +83,18 @@ class CohortBuild:
         spark, key = df.sparkSession, f"{name}_{S.plan_digest(df, self.wh.version_of)}"
         got = None if self.refresh else S.read_stored(spark, namespace, key)
         if got is None:
+            if "bucket_by" in how:
+                how["buckets"] = self.buckets
             got = S.materialize(df, key, namespace=namespace, refresh=self.refresh, **how)
             S.register_name(spark, name, namespace, key, self.wh.version, self.provenance)
         return got
 
+    @cached_property
+    def buckets(self) -> int:
+        """Buckets of all stored tables of this warehouse: its size decides, so that they agree and
+        a task's bucket does not grow with the data."""
+        return S.store_buckets(self.wh.spark, self.wh.n_bytes)
+
     @property
     def provenance(self) -> dict:
         """What a derived table was made with, as it is registered beside its name."""
@@ -111,7 +119,8 @@ class CohortBuild:
         df = self._index_dates.select(F.col("patid").cast("string"), F.col("index_date").cast("date"))
         h = F.xxhash64("patid", "index_date")
         content = df.agg(F.count(F.lit(1)), F.bit_xor(h), F.sum(h % (1 << 40))).first()
-        return S.materialize(df, f"index_dates_{S.digest(tuple(content))}", namespace="index_dates", unique="patid", bucket_by="patid")
+        return S.materialize(df, f"index_dates_{S.digest(tuple(content))}", namespace="index_dates", unique="patid", bucket_by="patid",
+                             buckets=self.buckets)
 
     @property
     def index(self):
@@ -199,7 +208,7 @@ class CohortBuild:
         """The stored lists of an event table, those of ``codes`` extracted where they are missing."""
         one = S.inline_table(codes.sparkSession, [("family", "concept", "code")], "family string, concept string, code string")
         events = extract(one)
-        store = CodedEvents(codes.sparkSession, name, S.plan_digest(events, self.wh.version_of), extract)
+        store = CodedEvents(codes.sparkSession, name, S.plan_digest(events, self.wh.version_of), extract, self.wh.n_bytes)
         return store, store.ensure(codes, self.refresh), events.schema
 
     @cached_property

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from . import fixtures as X
-from .store import files_digest, inline_table, materialize, plan_digest
+from .store import files_digest, files_size, inline_table, materialize, plan_digest
 
 
 def _d(y: int, m: int, d: int) -> Column:
@@ -61,6 +61,11 @@ class Warehouse:
         """Changes with the path and with the files of the tables read."""
         return files_digest(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in self.TABLES])
 
+    @cached_property
+    def n_bytes(self) -> int:
+        """Size of the files of the tables read."""
+        return files_size(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in self.TABLES])
+
     def version_of(self, path: str | None) -> str:
         """The state of the files at ``path`` when this warehouse first saw them."""
         held = self.__dict__.setdefault("_versions", {})
@@ -152,16 +157,18 @@ class Warehouse:
     @cached_property
     def observation(self) -> DataFrame:
         """patid, obsdate date, medcodeid string, testvalue double, numunitid int (nullable)."""
-        p = self.raw("part").select("p_partkey", "p_type")
+        # joined by the text of the key, as the codelists are: one exchange of the rows serves both
+        p = self.raw("part").select(F.col("p_partkey").cast("string").alias("p_code"), "p_type")
         q = F.col("l_quantity")
         formulas = {"40 + 4 * q": 40 + 4 * q, "2 * q": 2 * q, "2 + q / 10": 2 + q / 10,
                     "q - 1": q - 1, "q": q}
         value = _case(F.col("p_type"), [(t, formulas[f]) for t, _, f in X.TYPE_CONCEPT])
         unit = _case(F.col("l_linenumber") % 4, [(1, 218), (2, 425), (3, 999)])
-        return self._lines.join(p, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+        lines = self._lines.withColumn("medcodeid", F.col("l_partkey").cast("string"))
+        return lines.join(p, F.col("medcodeid") == F.col("p_code"), "left").select(
             F.col("o_custkey").cast("string").alias("patid"),
             F.col("o_orderdate").cast("date").alias("obsdate"),
-            F.col("l_partkey").cast("string").alias("medcodeid"),
+            "medcodeid",
             value.cast("double").alias("testvalue"),
             unit.cast("int").alias("numunitid"),
         )

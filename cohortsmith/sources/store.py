@@ -83,6 +83,16 @@ def inline_table(spark: SparkSession, rows, schema: str) -> DataFrame:
 def files_digest(spark: SparkSession, paths) -> str:
     """Digest of the names, sizes and times of all files under ``paths`` (any file system that
     Spark reads): new data at an old path gives a new digest.  Lists files, reads none."""
+    return hashlib.sha1(repr(sorted(_files(spark, paths))).encode()).hexdigest()[:12]
+
+
+def files_size(spark: SparkSession, paths) -> int:
+    """Bytes of all files under ``paths``."""
+    return sum(size for _, size, _ in _files(spark, paths))
+
+
+def _files(spark: SparkSession, paths) -> list[tuple[str, int, int]]:
+    """Name, size and time of all files under ``paths``."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for path in paths:
@@ -96,7 +106,7 @@ def files_digest(spark: SparkSession, paths) -> str:
             name = f.getPath().toString()
             if not f.getPath().getName().startswith((".", "_")):
                 found.append((name, f.getLen(), f.getModificationTime()))
-    return hashlib.sha1(repr(sorted(found)).encode()).hexdigest()[:12]
+    return found
 
 
 def table_path(spark: SparkSession, namespace: str, name: str) -> str:
@@ -111,13 +121,21 @@ _COMMIT = "seq long, version string, bucket_by string, buckets int, columns stri
 _READ: dict[tuple[str, str], tuple] = {}  # (application, path) -> commit that this application reads
 
 
-def store_buckets(spark: SparkSession) -> int:
+BUCKET_BYTES = 8 << 20  #: of the warehouse's files, for each bucket: a bucket's task stays small at any size
+MOST_BUCKETS = 1 << 14
+
+
+def store_buckets(spark: SparkSession, n_bytes: int = 0) -> int:
     """Buckets of co-partitioned tables: ``cohortsmith.store.buckets``, else the shuffle partitions
-    (on one machine its cores)."""
+    (on one machine its cores), doubled until none stands for more than ``BUCKET_BYTES`` of
+    ``n_bytes``, the size of the data that the tables are derived from."""
     if given := spark.conf.get("cohortsmith.store.buckets", None):
         return int(given)
     sc = spark.sparkContext
-    return sc.defaultParallelism if sc.master.startswith("local") else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = sc.defaultParallelism if sc.master.startswith("local") else int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while n * BUCKET_BYTES < n_bytes and n * 2 <= MOST_BUCKETS:
+        n *= 2
+    return n
 
 
 def read_stored(spark: SparkSession, namespace: str, name: str) -> DataFrame | None:
@@ -152,7 +170,7 @@ def _read_version(spark: SparkSession, at: str, version: str, bucket_by: str | N
 
 def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh: bool = False,
                 partition_by: list[str] | None = None, sort_within: list[str] | None = None,
-                unique: str | None = None, bucket_by: str | None = None) -> DataFrame:
+                unique: str | None = None, bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
     """Write ``df`` once under namespace/name and return the stored table.
 
     A later call with the same name returns the stored table without evaluating ``df``
@@ -161,7 +179,7 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
     place.  ``unique`` names a key that must be unique, checked before the commit.
     ``sort_within`` orders rows inside each task before writing (no shuffle), so Parquet min/max
     statistics let later filters on those columns skip row groups.  ``bucket_by`` deals the rows
-    out by a key into ``store_buckets`` buckets: joins and aggregates of such tables on that key
+    out by a key into ``buckets`` buckets (default: ``store_buckets``): joins and aggregates of such tables on that key
     read bucket by bucket and exchange nothing.  Only for tables in which no key has many rows, as
     one task reads a bucket."""
     spark = df.sparkSession
@@ -171,7 +189,7 @@ def materialize(df: DataFrame, name: str, *, namespace: str = "default", refresh
             got = read_stored(spark, namespace, name)
             if got is not None:
                 return got
-        return _write(df, path, partition_by, sort_within, unique, bucket_by)
+        return _write(df, path, partition_by, sort_within, unique, bucket_by, buckets)
 
 
 _LOCKS: dict[str, threading.Lock] = {}
@@ -183,10 +201,10 @@ def _lock_for(path: str) -> threading.Lock:
         return _LOCKS.setdefault(path, threading.Lock())
 
 
-def _write(df: DataFrame, path: str, partition_by, sort_within, unique, bucket_by) -> DataFrame:
+def _write(df: DataFrame, path: str, partition_by, sort_within, unique, bucket_by, buckets=None) -> DataFrame:
     spark = df.sparkSession
     version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    at, n = f"{path}/{version}", store_buckets(spark) if bucket_by else None
+    at, n = f"{path}/{version}", (buckets or store_buckets(spark)) if bucket_by else None
     if bucket_by:  # one file per bucket
         (df.repartition(n, bucket_by).write.bucketBy(n, bucket_by).option("path", at)
            .saveAsTable("cohortsmith_" + version.replace("-", "_")))

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from .store import files_digest
+from .store import files_digest, files_size
 
 #: Columns each table must have, and their types.
 CONTRACTS: dict[str, str] = {
@@ -67,6 +67,12 @@ class TableWarehouse:
         paths = sorted(t for t in self.tables.values() if "/" in t)
         return f"{files_digest(self.spark, paths)}-{sorted(self.tables.items())}"
 
+    @cached_property
+    def n_bytes(self) -> int:
+        """Size of the files of the domain tables that are read from files."""
+        paths = [p for t in self.tables.values() for p in ([t] if "/" in t else self.spark.table(t).inputFiles())]
+        return files_size(self.spark, paths)
+
     def version_of(self, path: str | None) -> str:
         """The state of the files at ``path`` (None: of an input that is no file)."""
         if path is None:

@@ -4,6 +4,7 @@ import re
 import uuid
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortsmith import config as C
@@ -190,6 +191,22 @@ def test_names_and_provenance(spark, build):
     assert row["options"]["index_date"] == str(IDX)
 
 
+def test_buckets_follow_the_size_of_the_warehouse(spark, no_broadcast, tmp_path):
+    few = S.store_buckets(spark)
+    assert S.store_buckets(spark, few * S.BUCKET_BYTES) == few and S.store_buckets(spark, 5 * few * S.BUCKET_BYTES) == 8 * few
+    for name in Warehouse.TABLES:
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(50).write.parquet(str(tmp_path / f"{name}.parquet"))
+    wh = Warehouse(spark, str(tmp_path))
+    assert wh.n_bytes > 0 and CohortBuild(wh).buckets == few
+    wh.n_bytes = 2 * few * S.BUCKET_BYTES
+    b = CohortBuild(wh)
+    seen = set(S._READ)
+    b.people, b.cohort_attributes  # noqa: B018
+    assert {S._READ[k][2] for k in set(S._READ) - seen if "/all_patid/" in k[1]} == {2 * few}
+    both = b.people.join(b.cohort_attributes, "patid")
+    assert exchanges(both) == 0 and both.count() == wh.patient.count()
+
+
 # -- exchanges of the events ------------------------------------------------------------------
 
 
@@ -199,6 +216,25 @@ def test_hospital_lists_are_broadcast(spark, build, no_broadcast):
         assert p.count("Exchange hashpartitioning") == 2 and "BroadcastHashJoin" in p, key  # lines and orders, once each
 
 
+def test_observations_meet_values_and_lists_in_one_exchange(build, no_broadcast):
+    p = plan(build.coded_observations_plan)
+    assert p.count("Exchange hashpartitioning(medcodeid") == 1 and "hashpartitioning(l_partkey" not in p
+
+
+def test_extraction_writes_without_an_exchange_of_its_own(spark, build, monkeypatch):
+    hints, keys = [], ("spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = [spark.conf.get(k, None) for k in keys]
+    whole = DataFrame.hint
+    monkeypatch.setattr(DataFrame, "hint", lambda df, name, *a: hints.append(name) or whole(df, name, *a))
+    store = coded.CodedEvents(spark, "probe", uuid.uuid4().hex, build._extract_observations, 1000 * coded.PARTITION_BYTES)
+    assert store._sized()[keys[1]] == 1000
+    runs = store.ensure(build.observation_codes)
+    want = build.coded_observations_plan
+    got = store.read(runs, want.schema).select(*want.columns)
+    assert not hints and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 # -- index dates --------------------------------------------------------------------------------
 
 
