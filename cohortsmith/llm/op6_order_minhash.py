@@ -19,8 +19,8 @@ Candidates, without all pairs of any bucket:
   shingle, rarest first.  Texts that share a common template only meet in its bucket, but not on
   its shingles, which are their commonest.  Lengths, places in the order and shingle histograms
   (exact bounds on the matches: a difference in a bin is a shingle that no alignment can match)
-  thin the pairs.  So no two keys that share a bucket and could be linked stay untested unless
-  they are in one class already.
+  thin the pairs; groups of the same keys are paired once.  So no two keys that share a bucket
+  and could be linked stay untested unless they are in one class already.
 
 Classes are the connected components of the links.  Defined cases: null text counts as empty;
 texts without words are one class; texts under five words are one shingle; of a class the row
@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import frames, join_groups, matching_rows, stored, whole_text
@@ -194,6 +194,21 @@ def _verified(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a binary, b binary")
 
 
+def _met_once(met: DataFrame) -> DataFrame:
+    """The groups (``meet``) of two keys and more, those of the same keys as one group.
+
+    Near copies share most of their buckets and rarest shingles, so the same few keys meet again and
+    again.  A key is ``other`` if it is so in one of the groups and has its least place in them: no
+    pair that passes in one of the groups is lost."""
+    w, k = Window.partitionBy("meet"), F.xxhash64("key", F.lit(1))
+    same = {"n": F.count(F.lit(1)).over(w), "x": F.bit_xor(F.xxhash64("key")).over(w), "y": F.bit_xor(k).over(w),
+            "s": F.sum(k % (1 << 40)).over(w), "any": F.max("other").over(w)}
+    groups = met.withColumns(same).filter("n > 1 and any")
+    return (groups.groupBy("n", "x", "y", "s", "key")
+                  .agg(F.first("label").alias("label"), F.max("other").alias("other"), F.first("m").alias("m"), F.min("at").alias("at"))
+                  .withColumn("meet", F.xxhash64("n", "x", "y", "s")))
+
+
 def _candidates(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
     """Pairs (a, b) of keys of different classes that share a bucket and one of both's rarest shingles.
 
@@ -231,6 +246,7 @@ def _candidates(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
     rare = texts.mapInArrow(first, "key binary, m int, places array<int>, rare array<long>").filter("size(rare) > 0")
     met = (inside.join(rare, "key").select("bucket", "key", "label", "other", "m", F.explode(F.arrays_zip("places", "rare")).alias("x"))
                  .select(F.xxhash64("bucket", "x.rare").alias("meet"), "key", "label", "other", "m", F.col("x.places").alias("at")))
+    met = _met_once(met)
     left = met.filter("other").select("meet", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"), F.col("at").alias("ia"))
     right = met.select("meet", F.col("key").alias("b"), F.col("label").alias("lb"), F.col("other").alias("ob"), F.col("m").alias("mb"), F.col("at").alias("ib"))
     return (left.join(right, "meet").filter("la <> lb and (not ob or a < b)")

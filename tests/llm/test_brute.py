@@ -244,6 +244,18 @@ def test_linked_texts_share_one_of_their_rarest_shingles():
     assert met > 100
 
 
+def test_groups_of_the_same_keys_are_paired_once(spark):
+    """Two keys that meet 50 times make one group, with the least place of each; a lone key and a group without another class make none."""
+    rows = [(i, k, k, k == "b", 10, 50 - i if k == "a" else i) for i in range(50) for k in "ab"]
+    rows += [(100, "a", "a", True, 10, 3), (101, "c", "c", False, 10, 1), (101, "d", "c", False, 10, 1),
+             (102, "a", "a", True, 10, 4), (102, "b", "b", False, 10, 5), (102, "c", "c", False, 10, 6)]
+    met = spark.createDataFrame(rows, "meet long, key string, label string, other boolean, m int, at int")
+    got = {}
+    for r in op6._met_once(met).collect():
+        got.setdefault(r["meet"], []).append((r["key"], r["other"], r["at"]))
+    assert sorted(map(sorted, got.values())) == [[("a", False, 1), ("b", True, 0)], [("a", True, 4), ("b", False, 5), ("c", False, 6)]]
+
+
 def test_template_texts_meet_no_pairs(spark):
     """Texts of one template share its bucket, but are no candidates of each other; the few near copies among them are."""
     r = random.Random(5)
