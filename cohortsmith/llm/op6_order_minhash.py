@@ -17,10 +17,14 @@ Candidates, without all pairs of any bucket:
   classes there.  Two linked keys share 0.8 of either's shingles, so in any order of the shingles
   they share one of the first fifth (and one more) of both: the join key is the bucket and such a
   shingle, rarest first.  Texts that share a common template only meet in its bucket, but not on
-  its shingles, which are their commonest.  Lengths, places in the order and shingle histograms
-  (exact bounds on the matches: a difference in a bin is a shingle that no alignment can match)
-  thin the pairs; groups of the same keys are paired once.  So no two keys that share a bucket
-  and could be linked stay untested unless they are in one class already.
+  its shingles, which are their commonest.  Groups of the same keys are paired once.  Every key
+  is first aligned with the centre of one of its groups, the key whose shared shingles stand
+  foremost (it has the fewest of its own), so copies of a text that are too far from their leader
+  join its class at one pair per key.  Lengths, places in the order, parities of the shingles in
+  ``BITS`` bins (both before a pair is formed) and shingle histograms (exact bounds on the
+  matches: a difference in a bin is a shingle that no alignment can match) thin the other pairs.
+  So no two keys that share a bucket and could be linked stay untested unless they are in one
+  class already.
 
 Classes are the connected components of the links.  Defined cases: null text counts as empty;
 texts without words are one class; texts under five words are one shingle; of a class the row
@@ -46,6 +50,7 @@ from .components import components
 WORDS = 5
 BANDS, SAMPLE = 20, 4
 BINS, MOST_IN_BIN = 256, 127
+BITS = 512  #: in 64-bit words
 COUNTERS = 1 << 20  #: shingles are ordered by counts in so many bins; any order finds all pairs
 NUM, DEN = 4, 5  # similarity 4/5
 _A = np.uint64(0x9E3779B97F4A7C15)
@@ -119,6 +124,13 @@ def histogram(s: np.ndarray, bins: int) -> np.ndarray:
     return np.minimum(np.bincount((s & np.uint64(bins - 1)).astype(np.int64), minlength=bins), MOST_IN_BIN).astype(np.int8)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """One bit per bin, whether its shingles are an odd number: each bit in which two texts differ is a
+    shingle that no alignment matches."""
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def matched(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """The most shingles an alignment within ``band`` of the diagonal matches."""
     n = min(len(a), len(b))
@@ -166,16 +178,16 @@ _RARE = pa.schema([("key", pa.binary()), ("m", pa.int32()), ("places", pa.list_(
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, h, key, m, bands, bins of every row."""
-    @F.pandas_udf("key binary, m int, bands array<long>, bins array<byte>")
+    """doc_id, h, key, m, bands, bins, bits of every row."""
+    @F.pandas_udf("key binary, m int, bands array<long>, bins array<byte>, bits array<long>")
     def signature(texts: pd.Series) -> pd.DataFrame:
         out = []
         with np.errstate(over="ignore"):
             for t in texts:
                 w = word_hashes(t)
                 s = shingles(w)
-                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s), histogram(s, BINS)))
-        return pd.DataFrame(out, columns=["key", "m", "bands", "bins"])
+                out.append((xxhash.xxh3_128_digest(w.tobytes()), len(s), sketch(s), histogram(s, BINS), parities(s)))
+        return pd.DataFrame(out, columns=["key", "m", "bands", "bins", "bits"])
 
     t = docs.select("doc_id", whole_text().alias("text"))
     return t.select("doc_id", F.xxhash64("text").alias("h"), signature("text").alias("s")).select("doc_id", "h", "s.*")
@@ -209,8 +221,16 @@ def _met_once(met: DataFrame) -> DataFrame:
                   .withColumn("meet", F.xxhash64("n", "x", "y", "s")))
 
 
-def _candidates(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
-    """Pairs (a, b) of keys of different classes that share a bucket and one of both's rarest shingles.
+def _in_reach(met: DataFrame) -> DataFrame:
+    """The keys of each group that have enough shingles from there on to be linked to its shortest
+    text, and so to any."""
+    least = F.min("m").over(Window.partitionBy("meet"))
+    return met.withColumn("least", least).filter(f"(m - at) * {NUM + DEN} >= (m + least) * {NUM}").drop("least")
+
+
+def _meets(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
+    """meet, key, label, other, m, at: the groups of keys that share a bucket and one of their rarest
+    shingles, where they are of more classes than one.
 
     ``named`` has the buckets' keys with their class (``label``) and that of the bucket's leader (``top``)."""
     spark = named.sparkSession
@@ -246,12 +266,35 @@ def _candidates(named: DataFrame, seqs: DataFrame, total: int) -> DataFrame:
     rare = texts.mapInArrow(first, "key binary, m int, places array<int>, rare array<long>").filter("size(rare) > 0")
     met = (inside.join(rare, "key").select("bucket", "key", "label", "other", "m", F.explode(F.arrays_zip("places", "rare")).alias("x"))
                  .select(F.xxhash64("bucket", "x.rare").alias("meet"), "key", "label", "other", "m", F.col("x.places").alias("at")))
-    met = _met_once(met)
-    left = met.filter("other").select("meet", F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"), F.col("at").alias("ia"))
-    right = met.select("meet", F.col("key").alias("b"), F.col("label").alias("lb"), F.col("other").alias("ob"), F.col("m").alias("mb"), F.col("at").alias("ib"))
-    return (left.join(right, "meet").filter("la <> lb and (not ob or a < b)")
-                # what the two share from their first common shingle on
-                .filter(f"least(ma - ia, mb - ib) * {NUM + DEN} >= (ma + mb) * {NUM}")
+    return stored(_met_once(_in_reach(met)), "meets")
+
+
+#: What two texts share from their first common shingle on is enough for a link.
+_ENOUGH = f"least(ma - ia, mb - ib) * {NUM + DEN} >= (ma + mb) * {NUM}"
+
+
+def _central(met: DataFrame) -> DataFrame:
+    """One pair (a, b) for each ``other`` key: b is the centre of one of its groups, of another class."""
+    centre = F.min(F.struct("other", F.col("at").alias("ib"), F.col("key").alias("b"), F.col("label").alias("lb"), F.col("m").alias("mb")))
+    pairs = met.withColumn("c", centre.over(Window.partitionBy("meet"))).filter("other").select(
+        F.col("key").alias("a"), F.col("label").alias("la"), F.col("m").alias("ma"), F.col("at").alias("ia"), "c.ib", "c.b", "c.lb", "c.mb")
+    return pairs.filter(f"la <> lb and {_ENOUGH}").groupBy("a").agg(F.min(F.struct("ib", "b")).alias("c")).select("a", "c.b")
+
+
+def _candidates(met: DataFrame, label: DataFrame, size: DataFrame) -> DataFrame:
+    """Pairs (a, b) of keys of different classes (``label``) that meet and could be linked.
+
+    In each group one of two keys of different classes is not of its centre's class."""
+    of = size.select("key", "bits").join(label.withColumnRenamed("v", "key"), "key", "left").select(
+        "key", "bits", F.xxhash64(F.coalesce("label", "key")).alias("label"))
+    w = Window.partitionBy("meet")
+    met = (met.select("meet", "key", "m", "at").join(of, "key")
+              .withColumn("other", F.col("label") != F.min(F.struct("at", "key", "label")).over(w)["label"])
+              .withColumn("any", F.max("other").over(w)).filter("any"))
+    side = lambda k: [F.col("key").alias(k), *[F.col(c).alias(f"{c[0] if c != 'at' else 'i'}{k}") for c in ("label", "m", "at")], F.col("bits").alias(f"p{k}")]
+    left, right = met.filter("other").select("meet", *side("a")), met.select("meet", *side("b"), F.col("other").alias("ob"))
+    apart = " + ".join(f"bit_count(pa[{i}] ^ pb[{i}])" for i in range(BITS // 64))
+    return (left.join(right, "meet").filter(f"la <> lb and (not ob or a < b) and {_ENOUGH} and ({apart}) * {NUM + DEN} <= (ma + mb) * {DEN - NUM}")
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
@@ -267,7 +310,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), class_id, class_size, kept of every row."""
     rows = stored(_signatures(docs), "signatures")
     keys = rows.groupBy("key").agg(F.min(F.struct(F.isnull("doc_id").alias("n"), "doc_id", "h")).alias("rep"),
-                                   *[F.first(c).alias(c) for c in ("m", "bands", "bins")])
+                                   *[F.first(c).alias(c) for c in ("m", "bands", "bins", "bits")])
     keys = stored(keys, "keys")
     bands = keys.select("key", F.explode("bands").alias("bucket"))
     total = keys.count() * BANDS
@@ -297,7 +340,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     top = (leaders.select("bucket", F.col("leader.key").alias("key"), "n").join(label.withColumnRenamed("v", "key"), "key", "left")
                   .select("bucket", F.coalesce("label", "key").alias("top"), "n"))
     named = stored(join_groups(named.drop("n"), top, "bucket", "n", total).select("bucket", "key", "label", "top", "n"), "named")
-    rest = _bounded(_candidates(named, seqs, total), keys.select("key", "m", "bins"))
+    met = _meets(named, seqs, total)
+    more = stored(_verified(_central(met), seqs), "central-links")
+    label = components(links.unionByName(more))
+    rest = _bounded(_candidates(met, label, keys.select("key", "bits")), keys.select("key", "m", "bins"))
     more = _verified(rest, seqs)
     between = (more.join(label.select(F.col("v").alias("a"), F.col("label").alias("la")), "a", "left")
                    .join(label.select(F.col("v").alias("b"), F.col("label").alias("lb")), "b", "left")

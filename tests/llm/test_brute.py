@@ -273,6 +273,45 @@ def test_template_texts_meet_no_pairs(spark):
     assert pairs[0] <= 100
 
 
+def test_parities_bound_what_no_alignment_matches():
+    r = random.Random(4)
+    for _ in range(200):
+        words = [r.randrange(40) for _ in range(r.randint(1, 90))]
+        other = [w for w in words if r.random() > .1] + [r.randrange(40) for _ in range(r.randrange(4))]
+        a, b = (op6.shingles(np.array(x, np.uint32)) for x in (words, other))
+        if len(a) and len(b):
+            bits = sum(int(x ^ y).bit_count() for x, y in zip(op6.parities(a).view(np.uint64), op6.parities(b).view(np.uint64)))
+            assert bits <= len(a) + len(b) - 2 * op6.matched(a, b, 100)
+
+
+def test_family_of_copies_forms_few_pairs(spark):
+    """Copies of a text that is not there, with two or three words changed: most are just too far
+    from each other; their classes are those of all pairs, and few pairs are formed."""
+    r = random.Random(11)
+    base = [f"t{r.randrange(10**6)}" for _ in range(150)]
+    texts = []
+    for i in range(240):
+        t = list(base)
+        for j in r.sample(range(150), 2 + i % 2):
+            t[j] = f"u{r.randrange(10**7)}"
+        texts.append(" ".join(t))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pairs = []
+    whole, op6._bounded = op6._bounded, lambda p, size: pairs.append(p.count()) or whole(p, size)
+    try:
+        got = {x["doc_id"]: x["class_id"] for x in op6.near_duplicates(docs).collect()}
+    finally:
+        op6._bounded = whole
+    with np.errstate(over="ignore"):
+        of, to = [op6.shingles(op6.word_hashes(t)) for t in texts], list(range(len(texts)))
+        for b in range(len(texts)):
+            for a in range(b):
+                if to[a] != to[b] and op6.linked(of[a], of[b]):
+                    to = [min(to[a], to[b]) if x in (to[a], to[b]) else x for x in to]
+    assert got == dict(enumerate(to))
+    assert pairs[0] <= 500
+
+
 def test_components(spark):
     r = random.Random(9)
     edges = [(r.randrange(400), r.randrange(400)) for _ in range(250)]
