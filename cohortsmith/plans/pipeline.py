@@ -26,7 +26,7 @@ from ..operators import sketches as SK
 from ..sources import codelists as CL
 from ..sources import store as S
 from ..sources.adapter import Warehouse
-from ..sources.coded import CodedEvents
+from ..sources.coded import CodedEvents, settings, sized_scans
 
 
 class CohortBuild:
@@ -85,7 +85,8 @@ class CohortBuild:
         if got is None:
             if "bucket_by" in how:
                 how["buckets"] = self.buckets
-            got = S.materialize(df, key, namespace=namespace, refresh=self.refresh, **how)
+            with settings(spark, sized_scans(spark, self.buckets)):
+                got = S.materialize(df, key, namespace=namespace, refresh=self.refresh, **how)
             S.register_name(spark, name, namespace, key, self.wh.version, self.provenance)
         return got
 

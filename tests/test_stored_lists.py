@@ -207,6 +207,21 @@ def test_buckets_follow_the_size_of_the_warehouse(spark, no_broadcast, tmp_path)
     assert exchanges(both) == 0 and both.count() == wh.patient.count()
 
 
+def test_stored_tables_are_made_by_tasks_that_follow_the_size(spark, no_broadcast, tmp_path, monkeypatch):
+    """Joins and scans of a stored table begin with as many parts as it has buckets; the session's own settings come back."""
+    for name in Warehouse.TABLES:
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(50).write.parquet(str(tmp_path / f"{name}.parquet"))
+    wh, few = Warehouse(spark, str(tmp_path)), S.store_buckets(spark)
+    wh.n_bytes = 8 * few * S.BUCKET_BYTES
+    keys = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.files.maxPartitionBytes")
+    before, seen, whole = [spark.conf.get(k, None) for k in keys], [], S.materialize
+    monkeypatch.setattr(S, "materialize", lambda *a, **how: seen.append([spark.conf.get(k, None) for k in keys]) or whole(*a, **how))
+    assert CohortBuild(wh).people.count() == wh.patient.count()
+    assert seen == [[str(8 * few), str(coded.TASK_BYTES), str(coded.TASK_BYTES)]]
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 # -- exchanges of the events ------------------------------------------------------------------
 
 
