@@ -41,7 +41,7 @@ class CohortBuild:
                  deficits: list[str] | None = None, hospital: bool = False, linked_only: bool = False,
                  version: dt.date = C.VERSION_2024, earlier_version: dt.date = C.VERSION_2021,
                  creatinine_unit: str = "umol/L", refresh: bool = False, index_dates: DataFrame | None = None,
-                 cohort_only: bool = False):
+                 cohort_only: bool = False, on_demand: bool = False):
         """``hospital=True`` adds the (dormant) hospital sources to the comorbidities: ICD-10
         prefix lists (hypertension excluded), OPCS-4 lists, a primary-cause heart-failure
         concept, and the source-aware validity rule.  ``linked_only=True`` keeps patients with
@@ -49,11 +49,14 @@ class CohortBuild:
         comorbidities prefer and drugs use.  ``refresh=True`` writes every stored table anew, once
         per build.  ``index_dates`` (patid, index_date; unique patid) gives each patient an index
         date instead of ``index_date``; patients without one have no features.  ``cohort_only=True``
-        reduces the events to the prevalent cohort before they are exchanged."""
+        reduces the events to the prevalent cohort before they are exchanged.  ``on_demand=True``
+        extracts the observations' lists of a family when a feature first reads it, for a build that
+        makes few features; else one scan extracts those of all families."""
         self.wh = wh
         self.index_date = index_date
         self._index_dates = index_dates
         self.cohort_only = cohort_only
+        self.on_demand = on_demand
         self.label = C.period_label(index_date) if index_dates is None else "index"
         self._spine = spine
         self._deficits = deficits
@@ -66,7 +69,8 @@ class CohortBuild:
     def _options(self) -> dict:
         return {"spine": self._spine, "deficits": self._deficits, "hospital": self.hospital, "linked_only": self.linked_only,
                 "version": self.version, "earlier_version": self.earlier_version, "creatinine_unit": self.creatinine_unit,
-                "index_dates": self._index_dates, "cohort_only": self.cohort_only}
+                "index_dates": self._index_dates, "cohort_only": self.cohort_only,
+                "on_demand": self.on_demand}
 
     def with_options(self, **changed) -> "CohortBuild":
         """Same warehouse and index date with other options; what does not depend on them is read
@@ -205,12 +209,13 @@ class CohortBuild:
     def coded_observations_plan(self) -> DataFrame:
         return self._extract_observations(self.observation_codes)
 
-    def _coded(self, name: str, extract, codes: DataFrame):
-        """The stored lists of an event table, those of ``codes`` extracted where they are missing."""
+    def _coded(self, name: str, extract, codes: DataFrame, families=None):
+        """The stored lists of an event table, those of ``codes`` (of some families) extracted where
+        they are missing."""
         one = S.inline_table(codes.sparkSession, [("family", "concept", "code")], "family string, concept string, code string")
         events = extract(one)
         store = CodedEvents(codes.sparkSession, name, S.plan_digest(events, self.wh.version_of), extract, self.wh.n_bytes)
-        return store, store.ensure(codes, self.refresh), events.schema
+        return store, store.ensure(codes, self.refresh, families), events.schema
 
     @cached_property
     def _observations(self):
@@ -222,7 +227,13 @@ class CohortBuild:
 
     def observations_of(self, *families: str) -> DataFrame:
         """Coded observations of some families, read from the stored lists."""
-        store, runs, schema = self._observations
+        if self.on_demand:
+            held = self.__dict__.setdefault("_observations_by", {})
+            if families not in held:
+                held[families] = self._coded("observations", self._extract_observations, self.observation_codes, families)
+            store, runs, schema = held[families]
+        else:
+            store, runs, schema = self._observations
         return store.read(runs, schema, families)
 
     def prescriptions_of(self, *families: str) -> DataFrame:

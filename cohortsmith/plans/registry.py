@@ -562,9 +562,10 @@ def _table_one(b):
 @query("warehouse_tables_roundtrip", "SELECT * FROM biomarkers", BIO_VALUES)
 def _warehouse_tables_roundtrip(b):
     """Every domain table written to Parquet, read back by name through ``TableWarehouse`` with
-    its declared schema, and the biomarker features built from those tables."""
+    its declared schema, and the biomarker features built from those tables: of the coded events
+    the measurements' lists are extracted, which those features read."""
     paths = TW.write_tables(b.wh, f"{ensure_store(b.wh.spark).rstrip('/')}/warehouse/{b.tag}")
-    return CohortBuild(TW.TableWarehouse(b.wh.spark, paths), deficits=X.efi_deficits()).biomarkers
+    return CohortBuild(TW.TableWarehouse(b.wh.spark, paths), deficits=X.efi_deficits(), on_demand=True).biomarkers
 
 
 # ---------------------------------------------------------------------------------------

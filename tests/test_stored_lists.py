@@ -347,3 +347,25 @@ def test_events_are_filtered_by_the_cohort_before_their_exchange(spark, build, n
 def test_cross_section_on_the_cohort_equals_the_stored_one(build):
     on, stored = build.cross_section_plan(on_cohort=True), build.cross_section()
     assert on.count() == stored.count() and sorted(map(str, on.select(*stored.columns).collect())) == sorted(map(str, stored.collect()))
+
+
+def test_lists_on_demand_equal_those_of_one_scan(build, spark, tmp_path):
+    """Biomarkers extract the measurements' lists alone; another family is extracted when it is read."""
+    paths = TW.write_tables(build.wh, str(tmp_path))
+    asked = CohortBuild(TW.TableWarehouse(spark, paths), deficits=X.efi_deficits(), on_demand=True)
+    assert sorted(map(tuple, asked.biomarkers.collect())) == sorted(map(tuple, build.biomarkers.collect()))
+    store, runs, _ = asked._observations_by[("measure",)]
+    assert {f for f, _ in runs} == {"measure"} == {r["family"] for r in store.manifest.collect()}
+    count = lambda df: sorted(map(tuple, df.groupBy("family", "concept").count().collect()))
+    assert count(asked.observations_of("efi")) == count(build.observations_of("efi"))
+    assert {r["family"] for r in store.manifest.collect()} == {"measure", "efi"}
+    assert count(CohortBuild(TW.TableWarehouse(spark, paths), deficits=X.efi_deficits()).coded_observations) == count(build.coded_observations)
+
+
+def test_lists_on_demand_refuse_codes_that_stand_twice(build, spark):
+    """Lists of families that are not asked for are checked as well."""
+    codes = build.observation_codes
+    twice = codes.unionByName(codes.filter(F.col("family") == "efi").limit(1))
+    store = coded.CodedEvents(spark, "probe", uuid.uuid4().hex, build._extract_observations)
+    with pytest.raises(CL.DuplicateCodes):
+        store.ensure(twice, families=("measure",))
