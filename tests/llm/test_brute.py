@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -527,3 +528,18 @@ def test_commonest_word_is_sought_in_the_whole_text(n):
     """The repeated word stands in the middle only; the feature is the same share at every length."""
     middle = [f"a{i}" for i in range(n)] + ["spam"] * n + [f"b{i}" for i in range(n)]
     assert op1.matrix([" ".join(middle), ""])[:, 8].tolist() == pytest.approx([1 / 3, 0.0])
+
+
+def test_packing_works_on_few_rows_at_a_time():
+    """A worker's frames, and what it sends back, follow ``BATCH``, not the batch it was sent."""
+    r = random.Random(4)
+    texts = [None if k == 7 else " ".join(r.choice(["alpha", "beta", "gamma"]) for _ in range(k % 9)) for k in range(2 * op7.BATCH + 5)]
+    sent = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array([t or "" for t in texts])})
+    got = list(op7._pieces(op7.RANKS)([sent, sent.slice(0, 0)]))
+    assert [b.num_rows for b in got] == [op7.BATCH, op7.BATCH, 5, 1]
+    rows = [x for b in got[:-1] for x in b.to_pylist()]
+    assert [x["doc_id"] for x in rows] == list(range(len(texts)))
+    seen = collections.Counter(t for x in rows for t in set(np.frombuffer(x["rest"], "<u2").tolist()))
+    assert seen == dict(zip(got[-1]["ids"][0].as_py(), got[-1]["docs"][0].as_py()))
+    queries_ = op7.Queries([np.arange(5)] * 3, np.arange(4))
+    assert queries_.hot.nbytes == 12 and queries_.who.tolist() == [0, 1, 2]
