@@ -543,3 +543,22 @@ def test_packing_works_on_few_rows_at_a_time():
     assert seen == dict(zip(got[-1]["ids"][0].as_py(), got[-1]["docs"][0].as_py()))
     queries_ = op7.Queries([np.arange(5)] * 3, np.arange(4))
     assert queries_.hot.nbytes == 12 and queries_.who.tolist() == [0, 1, 2]
+
+
+def test_chunks_have_the_ids_of_the_whole_text():
+    """Texts are cut where the full pattern always cuts, so no look-ahead is needed."""
+    assert op7.chunks("a  b\n\n\nc d \t") == ["a ", " b\n\n", "\nc d \t"]
+    assert op7.chunks("") == [""] and op7.chunks(" \n ") == [" \n "] and op7.chunks("a \x1cb") == ["a \x1cb"]
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    r, bpe = random.Random(12), op7.tokenizer()
+    signs = " \t\n\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u180e\u2003\u2028\u200b\u3000\ufeff" + "   \n\n" + "abZé漢5²!'s-😀_"
+    for text in ["", "  ", *("".join(r.choices(signs, k=r.randint(1, 30))) for _ in range(3000))]:
+        got = op7.document_ids(text, bpe)
+        assert got.dtype == np.uint32 and got.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 0]
+
+
+def test_lists_keep_equal_scores_and_leave_the_seed_out():
+    best = op7.Best(np.array([1, 4]), 3, 6)
+    for rows in (np.array([0, 1, 2]), np.array([3, 4, 5])):
+        best.add(0, np.tile(np.float32([0, 2, 2]), (2, 1)), rows)
+    assert best.row.tolist() == [[2, 4, 5], [5, 1, 2]] and not np.isneginf(best.score).any()
