@@ -562,3 +562,81 @@ def test_lists_keep_equal_scores_and_leave_the_seed_out():
     for rows in (np.array([0, 1, 2]), np.array([3, 4, 5])):
         best.add(0, np.tile(np.float32([0, 2, 2]), (2, 1)), rows)
     assert best.row.tolist() == [[2, 4, 5], [5, 1, 2]] and not np.isneginf(best.score).any()
+
+
+def _block(r, n: int, groups: int):
+    """Ids, weights and rows of ``n`` pieces of some topics; some are copies, some have a very large weight."""
+    topics = [r.choice(op7.VOCABULARY, 300, replace=False) for _ in range(groups)]
+    terms = [np.unique(r.choice(topics[i % groups], r.integers(5, 60))) for i in range(n)]
+    given = [(r.random(len(t)) * 4).astype("<f4") for t in terms]
+    for i in range(0, n, 9):
+        terms[i], given[i] = terms[i // 2], given[i // 2]
+        given[i + 1] = (given[i + 1] * r.choice([1e-4, 1, 300])).astype("<f4")
+    return terms, given
+
+
+@pytest.mark.parametrize("most, some", [(4, 300), (32, 60)])
+def test_bounds_leave_the_lists_as_they_are(most, some, monkeypatch):
+    """Lists by bounds equal those of all scores, and few pairs are scored where topics differ."""
+    monkeypatch.setattr(op7, "SHARD", 400)
+    monkeypatch.setattr(op7, "OWN", 200)
+    monkeypatch.setattr(op7, "SHARED", 100)
+    r, n = np.random.default_rng(most), 3000
+    terms, given = _block(r, n, 5)
+    seeds = np.sort(r.choice(n, some, replace=False))
+    asked = op7.Bounded(seeds, [terms[i] for i in seeds], n, most, np.arange(0, op7.VOCABULARY, 100))
+    scored, scores = [], op7.Sketch.scores
+    monkeypatch.setattr(op7.Sketch, "scores", lambda self, d, *x: scored.append(len(d)) or scores(self, d, *x))
+    for i in range(0, n, 1500):
+        part = slice(i, i + 1500)
+        asked.add(np.array([len(t) for t in terms[part]]), np.concatenate(terms[part]), np.concatenate(given[part]), np.arange(i, i + 1500))
+    for k, s in enumerate(seeds):
+        score = np.array([np.float32(w[np.isin(t, terms[s])].sum(dtype=np.float64)) for t, w in zip(terms, given)])
+        score[s] = -1
+        assert asked.best.row[k].tolist() == np.lexsort(((np.arange(n) - s) % n, -score))[:most].tolist()
+    assert sum(scored) < n * some / 8 and (most > 4 or scored)  # long lists: blocks of this size are scored whole
+
+
+def test_bounds_are_no_less_than_scores(monkeypatch):
+    r = np.random.default_rng(3)
+    terms, given = _block(r, 500, 2)
+    place = np.arange(op7.VOCABULARY)
+    for own, shared in ((512, 256), (40, 8)):
+        monkeypatch.setattr(op7, "OWN", own)
+        monkeypatch.setattr(op7, "SHARED", shared)
+        block = op7.Sketch(np.array([len(t) for t in terms]), np.concatenate(terms), np.concatenate(given), np.arange(500), place)
+        who, ids = op7._sparse(terms[:50])
+        bounds = block.bounds(who, ids, 50) * block.step
+        has = np.zeros((50, op7.VOCABULARY), bool)
+        has[who, ids] = True
+        d, q = np.divmod(np.arange(500 * 50), 50)
+        score = block.scores(d, q, has).reshape(500, 50)
+        assert (bounds * (1 + 1e-5) >= score).all()
+    a, b = r.integers(0, 256, (7, 768)).astype(np.uint8), r.integers(0, 65, (768, 5)).astype(np.int8)
+    assert (op7.product()(a, b) == a.astype(int) @ b.astype(int)).all()
+    for n in (0, 5, 64, 1003):
+        x = r.random(n) < 0.05
+        assert op7._true(x).tolist() == np.flatnonzero(x).tolist()
+
+
+def test_product_without_onnxruntime(monkeypatch):
+    import sys
+    monkeypatch.setitem(sys.modules, "onnxruntime", None)
+    monkeypatch.setitem(sys.__dict__, "_cohortsmith_llm_cache", {})
+    a, b = np.full((3, 768), 255, np.uint8), np.full((768, 2), 64, np.int8)
+    assert (op7.product()(a, b) == 255 * 64 * 768).all()
+
+
+def test_pieces_that_are_used_up_are_not_read_again(spark, tmp_path, monkeypatch):
+    """The windows are the same whether closed pieces are dropped and bounds used or not; waiting seeds are found."""
+    r = random.Random(6)
+    words = [f"{a}{b}" for a in ("alpha", "beta", "gamma", "delta") for b in range(150)]
+    texts = [(i, " ".join(r.choices(words[i % 4 * 150:i % 4 * 150 + 150], k=r.randint(5, 300)))) for i in range(1500)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    want = sorted(map(tuple, op7.pack_documents(docs).collect()))
+    read, stored = [], op7.stored
+    monkeypatch.setattr(op7, "SEEDS", 64)
+    monkeypatch.setattr(op7, "BOUNDED", 0)
+    monkeypatch.setattr(op7, "stored", lambda df, name: read.append(name) or stored(df, name))
+    got = sorted(map(tuple, op7.pack_documents(docs).collect()))
+    assert got == want and read.count("postings") > 1
